@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sootledger.functions.numbers import to_number, to_tonnes
-from sootledger.functions.text import contains_text
 
 
 def count_distinct(df: DataFrame, key: str, alias: str, approx: bool = False) -> DataFrame:
@@ -96,16 +95,6 @@ def sorted_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).na.drop().distinct().orderBy(column)
 
 
-def category_mean(category: str, wanted: str, value: str) -> Column:
-    """Mean of the rows of one category, as an aggregate expression."""
-    return F.avg(F.when(F.col(category) == wanted, to_number(value)))
-
-
-def first_match(text: str, wanted: str, value: str, position: str) -> Column:
-    """Value of the first row whose text contains a word, as an aggregate expression."""
-    return F.min_by(to_number(value), F.when(contains_text(text, wanted), F.col(position)))
-
-
 def load_counts(df: DataFrame, keys: Sequence[str], nullable: Sequence[str]) -> DataFrame:
     """Rows and missing values per group in one pass."""
     return df.groupBy(*keys).agg(

@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sootledger import domain, schemas
 from sootledger.functions.numbers import to_number
-from sootledger.functions.text import blank_to_null, is_default_model, na_to_null, strip
-from sootledger.operators.aggregates import category_mean, first_match
+from sootledger.functions.text import (
+    blank_to_null,
+    contains_text,
+    is_default_model,
+    na_to_null,
+    strip,
+)
 from sootledger.operators.contract import clean_header
 from sootledger.operators.ranking import first_per_key, last_per_key
 from sootledger.files import or_empty, read_delimited, row_position
@@ -91,19 +96,31 @@ def read_factor_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def band_factors(transports: DataFrame, cars: DataFrame) -> DataFrame:
-    """One factor per distance band: a single pass over each table, seven rows out."""
-    picked = transports.agg(
-        *[
-            first_match("subsubcategory", text, "total", "_position").alias(band)
-            for band, text in domain.BAND_ROW_TEXT.items()
-        ],
-        category_mean("subcategory", domain.BUS_CATEGORY, "total").alias("bus"),
+    """One factor per distance band: the first row that names the band, or a category's mean.
+
+    Each table is read once and grouped to at most seven rows.
+    """
+    named = [
+        F.when(contains_text("subsubcategory", text), F.lit(band))
+        for band, text in domain.BAND_ROW_TEXT.items()
+    ]
+    bus = F.when(F.col("subcategory") == domain.BUS_CATEGORY, F.lit("bus"))
+    car = F.when(F.col("subcategory") == domain.CAR_CATEGORY, F.lit("car"))
+    rows = _rows_of_bands(transports, [*named, bus]).unionByName(_rows_of_bands(cars, [car]))
+    grouped = rows.groupBy("BAND").agg(
+        F.min_by("total", "_position").alias("first"), F.avg("total").alias("mean")
     )
-    car = cars.agg(category_mean("subcategory", domain.CAR_CATEGORY, "total").alias("car"))
-    values = picked.unpivot([], [*domain.BAND_ROW_TEXT, "bus"], "BAND", "FACTOR").unionByName(
-        car.unpivot([], ["car"], "BAND", "FACTOR")
+    named_band = F.col("BAND").isin(*domain.BAND_ROW_TEXT)
+    factor = F.when(named_band, F.col("first")).otherwise(F.col("mean"))
+    return with_band_bounds(grouped.select("BAND", factor.alias("FACTOR")))
+
+
+def _rows_of_bands(table: DataFrame, bands: list[Column]) -> DataFrame:
+    return table.select(
+        F.explode(F.array_compact(F.array(*bands))).alias("BAND"),
+        to_number("total").alias("total"),
+        "_position",
     )
-    return with_band_bounds(values)
 
 
 def with_band_bounds(factors: DataFrame) -> DataFrame:
