@@ -8,7 +8,10 @@ people, parts are equipment, line items are purchases, orders are trips.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from sootledger.sources.warehouse import Star
 
@@ -23,18 +26,19 @@ def _named(value: str, otherwise: str = "NULL", **results: str) -> str:
     return f"CASE {value} {whens} ELSE {otherwise} END"
 
 
+def _pick(value: str, *words: str) -> str:
+    """The value-th word, cut from one text of equally wide fields."""
+    width = max(len(w) for w in words)
+    line = "".join(w.ljust(width) for w in words)
+    return f"trim(substr('{line}', CAST({value} AS INT) * {width} + 1, {width}))"
+
+
 def site(key: str) -> str:
-    return _case(
-        f"CAST({key} % 6 AS INT)", "'Berlin'", "'London'", "'LA'", "'NewYork'", "'Paris'",
-        "'Shanghai'",
-    )
+    return _pick(f"{key} % 6", "Berlin", "London", "LA", "NewYork", "Paris", "Shanghai")
 
 
 def site_dir(key: str) -> str:
-    return _case(
-        f"CAST({key} % 6 AS INT)", "'BERLIN'", "'LONDON'", "'LOSANGELES'", "'NEWYORK'", "'PARIS'",
-        "'SHANGHAI'",
-    )
+    return _pick(f"{key} % 6", "BERLIN", "LONDON", "LOSANGELES", "NEWYORK", "PARIS", "SHANGHAI")
 
 
 def person(key: str) -> str:
@@ -42,9 +46,9 @@ def person(key: str) -> str:
 
 
 def city(key: str) -> str:
-    return _case(
-        f"CAST({key} AS INT)", "'Berlin'", "'London'", "'Los Angeles'", "'New-York'", "'Paris'",
-        "'Shanghai'", otherwise=f"'NATION_' || CAST({key} AS STRING)",
+    return _pick(
+        key, "Berlin", "London", "Los Angeles", "New-York", "Paris", "Shanghai",
+        *[f"NATION_{k}" for k in range(6, 25)],
     )
 
 
@@ -52,18 +56,15 @@ def country(key: str) -> str:
     return f"'REGION_' || CAST({key} % 5 AS STRING)"
 
 
-_KIND = _case(
-    "CAST(substr(o_orderpriority, 1, 1) AS INT) - 1", "'Conférence'", "'Formation'", "'Réunion'",
-    "'Rencontre entreprises'", "'Développement'",
+_PRIORITY = "(ascii(o_orderpriority) - 49)"
+_KIND = _pick(
+    _PRIORITY, "Conférence", "Formation", "Réunion", "Rencontre entreprises", "Développement"
 )
-_SPELLED_KIND = _case(
-    "CAST(substr(o_orderpriority, 1, 1) AS INT) - 1",
-    _case("CAST(o_orderkey % 3 AS INT)", "'Konferenz'", "'Conference'", "'Conférence'"),
-    _case("CAST(o_orderkey % 3 AS INT)", "'Schulung'", "'Vocational Training'", "'Formation'"),
-    _case("CAST(o_orderkey % 3 AS INT)", "'Meeting'", "'Team Meeting'", "'Réunion'"),
-    _case("CAST(o_orderkey % 3 AS INT)", "'Geschäftstreffen'", "'Business Meeting'",
-          "'Rencontre entreprises'"),
-    _case("CAST(o_orderkey % 3 AS INT)", "'Entwicklung'", "'Development'", "'Développement'"),
+_SPELLED_KIND = _pick(
+    f"({_PRIORITY} * 3 + o_orderkey % 3)",
+    "Konferenz", "Conference", "Conférence", "Schulung", "Vocational Training", "Formation",
+    "Meeting", "Team Meeting", "Réunion", "Geschäftstreffen", "Business Meeting",
+    "Rencontre entreprises", "Entwicklung", "Development", "Développement",
 )
 _TYPE = _named(
     "p_type", ECONOMY="'PC portable'", LARGE="'PC fixe sans ecran'",
@@ -208,14 +209,21 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    source, columns = TABLES[name]
-    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
-    return df.selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
+@cache
+def _schema(path: str) -> T.StructType:
+    """Schema of a test table, looked up once so that later reads need no footer job."""
+    return SparkSession.active().read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
+
+
+def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    source, columns = TABLES[name]
+    df = table(spark, sf_dir, source)
+    return df.selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:

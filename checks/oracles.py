@@ -293,8 +293,8 @@ _TRIPS = (
         FROM raw_trips r)""",
     f"""located AS (SELECT c.*, d.DISTANCE_KM FROM cleaned c LEFT JOIN dist d USING ({_KEYS}))""",
     f"""mission AS (SELECT *, {_factor('TRANSPORT', 'DISTANCE_KM')} AS "CO2EQ",
-        round_even(DISTANCE_KM * ({_factor('TRANSPORT', 'DISTANCE_KM')}) * ({_TWICE}), 4)
-            AS "IMPACT" FROM located)""",
+        round_even(DISTANCE_KM * ({_factor('TRANSPORT', 'DISTANCE_KM')}) * ({_TWICE}) * 10000.0::DOUBLE, 0)
+            / 10000 AS "IMPACT" FROM located)""",
 )
 _TRIPS_BASE = ("raw_trips", "coordinates", "known_distances", "transports", "cars")
 
@@ -501,7 +501,7 @@ OPERATORS = {
         CAST(o_orderdate AS DATE) AS file_day FROM orders""",
     "number_functions": """SELECT event_id, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) AS k,
         CAST(NULL AS DOUBLE) AS not_a_number,
-        CAST(round_even(CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / 8, 2) AS DOUBLE)
+        round_even(CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / 8 * 100, 0) / 100
             AS half_even,
         value / 1000 AS tonnes, format('{:,.2f}', value * 1000) AS text FROM events""",
     "haversine": _with(("dim_mission", "coordinates")) + f"""SELECT DISTINCT

@@ -18,7 +18,9 @@ def to_number(c: Column | str) -> Column:
 
 
 def half_even(c: Column | str, digits: int) -> Column:
-    return F.bround(_col(c), digits)
+    """Scale, round to the nearest even integer, scale back: the array-library rounding."""
+    power = F.lit(float(10**digits))
+    return F.rint(_col(c) * power) / power
 
 
 def to_tonnes(kg: Column | str) -> Column:
