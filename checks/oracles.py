@@ -263,9 +263,9 @@ _PAIRS = (
 
 def _haversine(a: str, b: str) -> str:
     lat1, lon1, lat2, lon2 = f"{a}.LAT", f"{a}.LON", f"{b}.LAT", f"{b}.LON"
-    return f"""ROUND(2 * 6371.0088 * asin(least(1.0, sqrt(
-        pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))
-        * pow(sin(radians({lon2} - {lon1}) / 2), 2)))), 2)"""
+    h = f"""(pow(sin(radians({lat2} - {lat1}) / 2), 2)
+        + cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))"""
+    return f"ROUND(2 * 6371.0088 * asin(CASE WHEN {h} > 1 THEN 1 ELSE sqrt({h}) END), 2)"
 
 
 _SAME = "p.VILLE_DEPART = p.VILLE_DESTINATION AND p.PAYS_DEPART = p.PAYS_DESTINATION"

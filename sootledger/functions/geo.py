@@ -19,7 +19,8 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     a = F.pow(F.sin(dlat / 2), 2) + (
         F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlon / 2), 2)
     )
-    return 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    # Not least(): it ignores NULL and would place an unknown point opposite.
+    return 2 * EARTH_RADIUS_KM * F.asin(F.when(a > 1, F.lit(1.0)).otherwise(F.sqrt(a)))
 
 
 def inverse_geodesic(lat1, lon1, lat2, lon2, max_iter: int = 200, tol: float = 1e-12):

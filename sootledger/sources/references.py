@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sootledger import domain, schemas
 from sootledger.functions.numbers import to_number
@@ -27,7 +28,7 @@ def _with_position(df: DataFrame) -> DataFrame:
 
 def read_impacts(spark: SparkSession, path: str) -> DataFrame:
     """Impact per TYPE and MODELE as read, with the row's place; empty when absent."""
-    schema = schemas.IMPACT_REFERENCE.add("_position", "bigint")
+    schema = T.StructType(list(schemas.IMPACT_REFERENCE.fields)).add("_position", "long")
     return or_empty(
         spark, lambda: clean_header(_with_position(read_delimited(spark, path, ",")), fold=True)
         .withColumnRenamed("_POSITION", "_position"), schema

@@ -52,7 +52,7 @@ def _stored_schema(table: str, lineage: bool) -> T.StructType:
     for c in [] if lineage else schemas.KEYED_COLUMNS.get(table, []):
         schema = schema.add(f"{c}_KEY", "string")
     if lineage:
-        schema = schema.add("load_order", "bigint").add("ingest_date", "date")
+        schema = schema.add("load_order", "long").add("ingest_date", "date")
     return schema
 
 
@@ -119,7 +119,7 @@ def load_star_any(spark: SparkSession, layout: Layout) -> Star:
 def read_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
     dim, fact = f"DIM_{kind.upper()}", f"FAIT_{kind.upper()}"
     both = {f.name: f for f in [*schemas.WAREHOUSE[fact].fields, *schemas.WAREHOUSE[dim].fields]}
-    schema = T.StructType(list(both.values())).add("load_order", "bigint")
+    schema = T.StructType(list(both.values())).add("load_order", "long")
     schema = schema.add("ingest_date", "date").add("site_dir", "string")
     return or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.log(kind)), schema)
 
