@@ -13,7 +13,7 @@ SITE_OF = {"PARIS": "Paris", "LOSANGELES": "LA", "BERLIN": "Berlin"}
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", cores=8)
+    session = local_session("tests", cores=8, partitions=4)
     yield session
     session.stop()
 
