@@ -61,11 +61,10 @@ def drops(tmp_path):
     return Drops(tmp_path / "drops")
 
 
-@pytest.fixture
-def reference_files(tmp_path):
+@pytest.fixture(scope="session")
+def reference_files(tmp_path_factory):
     """The five reference files, with the edge rows the rules need."""
-    root = tmp_path / "references"
-    root.mkdir()
+    root = tmp_path_factory.mktemp("references")
     (root / "impacts.csv").write_text(
         " Type ,Modèle,Impact\n"
         "PC portable,modèle par défaut,260\n"

@@ -26,7 +26,7 @@ from sootledger.sources import (
 from sootledger.sources.drops import dedupe_file_rows
 from sootledger.sources.warehouse import read_deltas, read_log
 from sootledger.streaming.ingest import start_ingest
-from tests.conftest import rows
+from tests.conftest import Drops, rows
 
 D1, D2, D3 = (dt.date(2026, 6, d) for d in (1, 2, 5))
 
@@ -55,17 +55,24 @@ def fill(drops):
     drops.goods("LOSANGELES", D3, [buy("b4", la, D3, "PC portable", "Inconnu")])
 
 
-@pytest.fixture
+@pytest.fixture(scope="module")
 def refs(spark, reference_files):
     return runs.read_references(spark, reference_files)
 
 
-@pytest.fixture
-def loaded(spark, drops, refs, tmp_path):
+@pytest.fixture(scope="module")
+def delivered(tmp_path_factory):
+    """Drop files that no test adds to."""
+    drops = Drops(tmp_path_factory.mktemp("delivered"))
     fill(drops)
-    layout = Layout(str(tmp_path / "warehouse"))
-    runs.initialise(spark, layout, str(drops.root))
-    runs.run_range(spark, layout, str(drops.root), refs, D1, D3)
+    return str(drops.root)
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, delivered, refs, tmp_path_factory):
+    layout = Layout(str(tmp_path_factory.mktemp("warehouse")))
+    runs.initialise(spark, layout, delivered)
+    runs.run_range(spark, layout, delivered, refs, D1, D3)
     return layout
 
 
@@ -75,9 +82,8 @@ def contents(star):
     }
 
 
-def test_readers(spark, drops):
-    fill(drops)
-    root = str(drops.root)
+def test_readers(spark, delivered):
+    root = delivered
     trips = read_trip_drops(spark, root)
     assert rows(trips.groupBy("ingest_date", "site_dir").count()) == [
         (D1, "PARIS", 4), (D2, "LOSANGELES", 2), (D3, "PARIS", 1)]
@@ -145,22 +151,22 @@ def test_as_of(spark, loaded):
     assert contents(as_of(spark, loaded, D3)) == contents(load_star(spark, loaded))
 
 
-def test_rerun_changes_nothing(spark, drops, refs, loaded):
+def test_rerun_changes_nothing(spark, delivered, refs, loaded):
     before = contents(load_star(spark, loaded))
     days = {t: rows(read_deltas(spark, loaded, t)) for t in ("FAIT_MISSION", "DIM_MISSION")}
-    assert runs.run_day(spark, loaded, str(drops.root), refs, D2)
-    assert not runs.run_day(spark, loaded, str(drops.root), refs, dt.date(2026, 6, 3))
+    assert runs.run_day(spark, loaded, delivered, refs, D2)
+    assert not runs.run_day(spark, loaded, delivered, refs, dt.date(2026, 6, 3))
     runs.publish_snapshots(spark, loaded)
     assert contents(load_star(spark, loaded)) == before
     for t, old in days.items():
         assert rows(read_deltas(spark, loaded, t)) == old
 
 
-def test_day_by_day_equals_one_pass(spark, drops, refs, loaded, tmp_path):
+def test_day_by_day_equals_one_pass(spark, delivered, refs, loaded, tmp_path):
     daily = Layout(str(tmp_path / "daily"))
-    runs.initialise(spark, daily, str(drops.root))
+    runs.initialise(spark, daily, delivered)
     for day in (D1, D2, D3):
-        runs.run_day(spark, daily, str(drops.root), refs, day)
+        runs.run_day(spark, daily, delivered, refs, day)
     runs.publish_snapshots(spark, daily)
     assert contents(load_star(spark, daily)) == contents(load_star(spark, loaded))
     for t in ("FAIT_MISSION", "DIM_MISSION", "FAIT_MATERIEL", "DIM_MATERIEL"):
@@ -168,6 +174,7 @@ def test_day_by_day_equals_one_pass(spark, drops, refs, loaded, tmp_path):
 
 
 def test_stream_equals_one_pass(spark, drops, refs, loaded, tmp_path):
+    fill(drops)
     streamed = Layout(str(tmp_path / "streamed"))
     runs.initialise(spark, streamed, str(drops.root))
     checkpoint = str(tmp_path / "checkpoint")
@@ -193,11 +200,10 @@ def test_versions_and_metadata(spark, loaded):
     assert paths[("latest", "DIM_PERSONNEL")] == paths[("init", "DIM_PERSONNEL")]
 
 
-def test_rebuild_without_snapshot(spark, drops, refs, tmp_path):
-    fill(drops)
+def test_rebuild_without_snapshot(spark, delivered, refs, tmp_path):
     layout = Layout(str(tmp_path / "days-only"))
-    runs.initialise(spark, layout, str(drops.root))
-    runs.run_range(spark, layout, str(drops.root), refs, D1, D3, labels=())
+    runs.initialise(spark, layout, delivered)
+    runs.run_range(spark, layout, delivered, refs, D1, D3, labels=())
     star = load_star_any(spark, layout)
     # Facts are unique by key here, unlike in the snapshot.
     assert rows(star.fait_mission, "ID_MISSION", "ID_DATE_MISSION") == [
