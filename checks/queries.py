@@ -98,6 +98,11 @@ def _wide(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return panels.trips_wide(s), panels.equipment_wide(s)
 
 
+def _emissions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    s = star(spark, sf_dir)
+    return panels.trips_wide(s, sector=False), panels.equipment_wide(s, sector=False)
+
+
 @query
 def panel_trips_wide(spark, sf_dir):
     wide = _wide(spark, sf_dir)[0]
@@ -111,56 +116,56 @@ def panel_equipment_wide(spark, sf_dir):
 
 @query
 def panel_kpis(spark, sf_dir):
-    df = panels.kpis(*_wide(spark, sf_dir), PERIOD)
+    df = panels.kpis(*_emissions(spark, sf_dir), PERIOD)
     return rounded(df.select("total", "missions", "materiel"), "total", "missions", "materiel")
 
 
 @query
 def panel_by_site(spark, sf_dir):
-    return rounded(panels.by_site(*_wide(spark, sf_dir), PERIOD), "tCO2e")
+    return rounded(panels.by_site(*_emissions(spark, sf_dir), PERIOD), "tCO2e")
 
 
 @query
 def panel_split(spark, sf_dir):
-    return rounded(panels.split_by_source(*_wide(spark, sf_dir), PERIOD), "tCO2e")
+    return rounded(panels.split_by_source(*_emissions(spark, sf_dir), PERIOD), "tCO2e")
 
 
 @query
 def panel_filter_options(spark, sf_dir):
-    return panels.filter_option_rows(_wide(spark, sf_dir)[0], PERIOD)
+    return panels.filter_option_rows(_emissions(spark, sf_dir)[0], PERIOD)
 
 
 @query
 def panel_monthly_trips(spark, sf_dir):
-    trips = _wide(spark, sf_dir)[0]
+    trips = _emissions(spark, sf_dir)[0]
     return rounded(panels.monthly_trips(trips, site="Paris", kind="Formation"), "tCO2e")
 
 
 @query
 def panel_by_transport(spark, sf_dir):
-    df = panels.by_transport(_wide(spark, sf_dir)[0], site="LA")
+    df = panels.by_transport(_emissions(spark, sf_dir)[0], site="LA")
     return rounded(df, "tCO2e")
 
 
 @query
 def panel_top_trips(spark, sf_dir):
-    return rounded(panels.top_trips(_wide(spark, sf_dir)[0]), "tCO2e")
+    return rounded(panels.top_trips(_emissions(spark, sf_dir)[0]), "tCO2e")
 
 
 @query
 def panel_equipment_by_type(spark, sf_dir):
-    df = panels.equipment_by_type(_wide(spark, sf_dir)[1], PERIOD)
+    df = panels.equipment_by_type(_emissions(spark, sf_dir)[1], PERIOD)
     return rounded(df, "tCO2e")
 
 
 @query
 def panel_equipment_by_site(spark, sf_dir):
-    return rounded(panels.equipment_by_site(_wide(spark, sf_dir)[1], PERIOD), "tCO2e")
+    return rounded(panels.equipment_by_site(_emissions(spark, sf_dir)[1], PERIOD), "tCO2e")
 
 
 @query
 def panel_monthly_equipment(spark, sf_dir):
-    return rounded(panels.monthly_equipment(_wide(spark, sf_dir)[1]), "tCO2e")
+    return rounded(panels.monthly_equipment(_emissions(spark, sf_dir)[1]), "tCO2e")
 
 
 @query
@@ -170,23 +175,25 @@ def panel_missing_impact(spark, sf_dir):
 
 @query
 def panel_by_sector(spark, sf_dir):
-    return rounded(panels.by_sector(*_wide(spark, sf_dir), PERIOD), "tCO2e")
+    people = frame(spark, sf_dir, "dim_personnel")
+    return rounded(panels.by_sector(*_emissions(spark, sf_dir), people, PERIOD), "tCO2e")
 
 
 @query
 def panel_sector_site_matrix(spark, sf_dir):
-    df = panels.sector_site_matrix(*_wide(spark, sf_dir), PERIOD, sites=SITES)
+    people = frame(spark, sf_dir, "dim_personnel")
+    df = panels.sector_site_matrix(*_emissions(spark, sf_dir), people, PERIOD, sites=SITES)
     return rounded(df, *SITES)
 
 
 @query
 def panel_top_emitters(spark, sf_dir):
-    return rounded(panels.top_emitters(*_wide(spark, sf_dir), PERIOD), "tCO2e")
+    return rounded(panels.top_emitters(*_emissions(spark, sf_dir), PERIOD), "tCO2e")
 
 
 @query
 def panel_date_range(spark, sf_dir):
-    return panels.date_range(*_wide(spark, sf_dir))
+    return panels.date_range(*_emissions(spark, sf_dir))
 
 
 # ── Cleaning and enrichment ──────────────────────────────────────────────────
@@ -334,10 +341,12 @@ def user_delta(spark, sf_dir):
 
 @query
 def user_delta_of_days(spark, sf_dir):
-    """New users of the second half of the history."""
+    """New users since the second day, given the users of the first."""
     log = frame(spark, sf_dir, "event_log")
-    days = log.filter(F.col("ingest_date") >= F.lit("2024-01-02").cast("date"))
-    return loading.dim_delta_of(days, log, "user_id", ["user_id", "event_type", "value"])
+    later = F.col("ingest_date") >= F.lit("2024-01-02").cast("date")
+    columns = ["user_id", "event_type", "value"]
+    known = loading.dim_delta(log.filter(~later), "user_id", columns)
+    return loading.dim_delta_of(log.filter(later), known, "user_id", columns)
 
 
 @query

@@ -27,22 +27,18 @@ def dim_delta(log: DataFrame, pk: str, columns: Sequence[str]) -> DataFrame:
     return first_per_key(rows, pk, [F.col(DAY), -F.col(PLACE)])
 
 
-def first_days(log: DataFrame, pk: str) -> DataFrame:
-    """First day of every key: reads two columns, combines map-side."""
-    return log.groupBy(pk).agg(F.min(DAY).alias("_first_day"))
-
-
 def dim_delta_of(
-    some_days: DataFrame, log: DataFrame, pk: str, columns: Sequence[str]
+    some_days: DataFrame, known: DataFrame, pk: str, columns: Sequence[str]
 ) -> DataFrame:
     """``dim_delta`` restricted to some days, without ranking the whole history.
 
-    The rows of those days are ranked; history contributes only its keys.
+    ``known`` holds (key, ingest_date) of the deltas of all other days. A key is
+    there once, not once per row ever sent, and only two columns of it are read.
     """
     fresh = dim_delta(some_days, pk, columns)
-    known = first_days(log, pk).withColumnRenamed(pk, "_known")
-    seen_before = (F.col(pk) == F.col("_known")) & (F.col("_first_day") < F.col(DAY))
-    return fresh.join(known, seen_before, "left_anti")
+    before = known.select(F.col(pk).alias("_known"), F.col(DAY).alias("_known_day"))
+    seen = (F.col(pk) == F.col("_known")) & (F.col("_known_day") < F.col(DAY))
+    return fresh.join(before, seen, "left_anti")
 
 
 def fact_rows(log: DataFrame, columns: Sequence[str]) -> DataFrame:

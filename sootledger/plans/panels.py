@@ -2,6 +2,8 @@
 
 ``trips_wide`` and ``equipment_wide`` join facts to dimensions with left joins,
 so a fact without dimension counts 0 t; every panel is one aggregation of them.
+Only the sector panels need people. They sum per person first and join the sums,
+so ``sector=False`` spares the other panels that join altogether.
 """
 
 from __future__ import annotations
@@ -27,7 +29,6 @@ from sootledger.operators.aggregates import (
 from sootledger.operators.filters import filter_equal, filter_period, only_positive
 from sootledger.operators.joins import outer_add, reconcile_site, star
 from sootledger.operators.ranking import (
-    first_per_key,
     order_by_list,
     order_rows,
     reindex_to_list,
@@ -40,19 +41,25 @@ Period = tuple[str | dt.date | None, str | dt.date | None]
 ALWAYS: Period = (None, None)
 
 
-def _wide(fact: DataFrame, dim: DataFrame, people: DataFrame, key: str, day: str) -> DataFrame:
+def _wide(
+    fact: DataFrame, dim: DataFrame, people: DataFrame, key: str, day: str, sector: bool
+) -> DataFrame:
     df = star(fact, dim, key, how="left")
     df = df.withColumn("DATE", F.to_date(day))
     impact = tonnes_or_zero("IMPACT") if "IMPACT" in df.columns else F.lit(0.0)
     df = df.withColumns({"tCO2e": impact, "MOIS": year_month("DATE")})
+    if not sector:
+        return reconcile_site(df)
     brought = ["ID_PERSONNEL", "FONCTION_PERSONNEL"]
     if "ID_SITE" not in df.columns and "ID_SITE" in people.columns:
         brought.append("ID_SITE")
     return reconcile_site(star(df, people.select(*brought), "ID_PERSONNEL", how="left"))
 
 
-def trips_wide(s: Star) -> DataFrame:
-    df = _wide(s.fait_mission, s.dim_mission, s.dim_personnel, "ID_MISSION", "ID_DATE_MISSION")
+def trips_wide(s: Star, sector: bool = True) -> DataFrame:
+    df = _wide(
+        s.fait_mission, s.dim_mission, s.dim_personnel, "ID_MISSION", "ID_DATE_MISSION", sector
+    )
     if "TRANSPORT" in df.columns:
         df = df.withColumn("TRANSPORT", F.coalesce("TRANSPORT", F.lit(domain.MISSING_LABEL)))
     if {"VILLE_DESTINATION", "PAYS_DESTINATION"} <= set(df.columns):
@@ -62,8 +69,10 @@ def trips_wide(s: Star) -> DataFrame:
     return df.withColumn("DESTINATION", label)
 
 
-def equipment_wide(s: Star) -> DataFrame:
-    df = _wide(s.fait_materiel, s.dim_materiel, s.dim_personnel, "ID_MATERIEL", "ID_DATE_ACHAT")
+def equipment_wide(s: Star, sector: bool = True) -> DataFrame:
+    df = _wide(
+        s.fait_materiel, s.dim_materiel, s.dim_personnel, "ID_MATERIEL", "ID_DATE_ACHAT", sector
+    )
     if "TYPE" in df.columns:
         df = df.withColumn("TYPE", F.coalesce("TYPE", F.lit(domain.MISSING_LABEL)))
     return df
@@ -159,13 +168,11 @@ def top_trips(
     transport: str | None = None,
 ) -> DataFrame:
     """The n trips with the greatest emissions, one row per trip, with display texts."""
-    rows = _chosen(trips, site, kind, transport)
-    rows = rows.select(
-        "ID_MISSION", "tCO2e", route_label("VILLE_DEPART", "VILLE_DESTINATION").alias("route"),
-        "DATE",
-    )
-    # A trip sent twice has one dimension row, so its copies differ by day only.
-    once = only_positive(first_per_key(rows, "ID_MISSION", ["DATE"]), "tCO2e")
+    rows = only_positive(_chosen(trips, site, kind, transport), "tCO2e")
+    route = route_label("VILLE_DEPART", "VILLE_DESTINATION").alias("route")
+    # A trip sent twice has one dimension row, so its copies differ by day only:
+    # a hash aggregation finds the first one, no ranking of all trips is needed.
+    once = rows.groupBy("ID_MISSION", "tCO2e", route).agg(F.min("DATE").alias("DATE"))
     best = top_n(once, "tCO2e", n, ["ID_MISSION"])
     return best.select(
         "ID_MISSION", "route", day_label("DATE").alias("jour"), "tCO2e",
@@ -210,21 +217,32 @@ def missing_impact(s: Star) -> DataFrame:
 # ── Sectors ──────────────────────────────────────────────────────────────────
 
 
-def by_sector(trips: DataFrame, equipment: DataFrame, period: Period = ALWAYS) -> DataFrame:
+def _with_sector(
+    trips: DataFrame, equipment: DataFrame, people: DataFrame, period: Period, *extra: str
+) -> DataFrame:
+    """Sums per person (and more keys) with the person's sector: few rows reach the join."""
+    keys = ["ID_PERSONNEL", *extra]
+    per_person = outer_add([_both(trips, equipment, period, *keys)], keys, "tCO2e")
+    sectors = people.select("ID_PERSONNEL", "FONCTION_PERSONNEL")
+    return star(per_person, sectors, "ID_PERSONNEL", how="left")
+
+
+def by_sector(
+    trips: DataFrame, equipment: DataFrame, people: DataFrame, period: Period = ALWAYS
+) -> DataFrame:
     """Positive emissions of the listed sectors, in list order."""
-    both = _both(trips, equipment, period, "FONCTION_PERSONNEL")
-    totals = outer_add([both], ["FONCTION_PERSONNEL"], "tCO2e")
+    totals = group_total(_with_sector(trips, equipment, people, period), "FONCTION_PERSONNEL")
     listed = reindex_to_list(totals, "FONCTION_PERSONNEL", domain.SECTOR_ORDER, "tCO2e")
     return only_positive(listed, "tCO2e")
 
 
 def sector_site_matrix(
-    trips: DataFrame, equipment: DataFrame, period: Period = ALWAYS,
+    trips: DataFrame, equipment: DataFrame, people: DataFrame, period: Period = ALWAYS,
     sites: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sectors as rows in list order, sites as columns."""
-    both = _both(trips, equipment, period, "FONCTION_PERSONNEL", "ID_SITE")
-    listed = both.filter(F.col("FONCTION_PERSONNEL").isin(*domain.SECTOR_ORDER))
+    summed = _with_sector(trips, equipment, people, period, "ID_SITE")
+    listed = summed.filter(F.col("FONCTION_PERSONNEL").isin(*domain.SECTOR_ORDER))
     crossed = matrix(listed, "FONCTION_PERSONNEL", "ID_SITE", "tCO2e", sites)
     return order_by_list(crossed, "FONCTION_PERSONNEL", domain.SECTOR_ORDER)
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sootledger import domain, schemas
+from sootledger.files import or_empty
 from sootledger.operators.contract import conform
 from sootledger.operators.ranking import last_per_key
 from sootledger.plans.enrich import (
@@ -22,7 +23,6 @@ from sootledger.plans.enrich import (
 )
 from sootledger.plans.loading import dim_delta_of, dim_snapshot, fact_rows
 from sootledger.session import tune
-from sootledger.files import or_empty
 from sootledger.sinks.ledger import Layout, append_distances, publish, write_days
 from sootledger.sources.drops import (
     read_equipment_drops,
@@ -37,7 +37,7 @@ from sootledger.sources.references import (
     read_impacts,
     split_impacts,
 )
-from sootledger.sources.warehouse import as_of, read_log
+from sootledger.sources.warehouse import as_of, read_deltas, read_log
 
 LOG_PARTITIONS = ("ingest_date", "site_dir")
 
@@ -103,16 +103,17 @@ def load_equipment(layout: Layout, raw: DataFrame, refs: References) -> None:
 def write_deltas(spark: SparkSession, layout: Layout, kind: str, days) -> None:
     """Deltas of some days: new dimension keys and the day's facts.
 
-    ``days`` is a predicate on ingest_date. Days without rows write nothing.
+    ``days`` is a predicate on ingest_date. Days without rows write nothing. The
+    keys already known come from the deltas of the other days, so the partitions
+    that are read and those that are replaced do not overlap.
     """
-    log = read_log(spark, layout, kind)
-    some = log.filter(days)
+    some = read_log(spark, layout, kind).filter(days)
     fact, dim = f"FAIT_{kind.upper()}", f"DIM_{kind.upper()}"
     dim_columns = schemas.names(schemas.WAREHOUSE[dim])
     fact_columns = schemas.names(schemas.WAREHOUSE[fact])
-    write_days(
-        dim_delta_of(some, log, schemas.PRIMARY_KEY[dim], dim_columns), layout.delta(dim)
-    )
+    known = read_deltas(spark, layout, dim).filter(~days)
+    new = dim_delta_of(some, known, schemas.PRIMARY_KEY[dim], dim_columns)
+    write_days(new, layout.delta(dim))
     write_days(fact_rows(some, fact_columns), layout.delta(fact))
 
 

@@ -230,11 +230,11 @@ def test_questions_and_panels_on_loaded_tables(spark, loaded):
     trips, goods = panels.trips_wide(star), panels.equipment_wide(star)
     total = panels.kpis(trips, goods).first()["total"]
     per_site = sum(r["tCO2e"] for r in panels.by_site(trips, goods).collect())
-    per_sector = sum(r["tCO2e"] for r in panels.by_sector(trips, goods).collect())
+    per_sector = sum(r["tCO2e"] for r in panels.by_sector(trips, goods, star.dim_personnel).collect())
     assert total == pytest.approx(per_site) == pytest.approx(per_sector)
     assert rows(panels.missing_impact(star)) == [(25.0, True)]
     assert rows(panels.filter_options(trips)["TRANSPORT"]) == [("Avion",), ("Vélo",)]
-    matrix = panels.sector_site_matrix(trips, goods)
+    matrix = panels.sector_site_matrix(trips, goods, star.dim_personnel)
     assert matrix.columns == ["FONCTION_PERSONNEL", "LA", "Paris"]
     assert [r[0] for r in matrix.collect()] == ["Ingénieur Data", "Cadre"]
     assert panels.kpis(trips.limit(0), goods.limit(0)).first()["total"] == 0.0
