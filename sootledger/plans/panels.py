@@ -35,6 +35,7 @@ from sootledger.operators.ranking import (
     top_n,
 )
 from sootledger.operators.sets import stack, tagged
+from sootledger.session import cut_lineage
 from sootledger.sources.warehouse import Star
 
 Period = tuple[str | dt.date | None, str | dt.date | None]
@@ -78,6 +79,14 @@ def equipment_wide(s: Star, sector: bool = True) -> DataFrame:
     return df
 
 
+def analytical_frames(
+    s: Star, sector: bool = True, materialise: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Both wide frames; ``materialise`` checkpoints them when many panels will read them."""
+    frames = trips_wide(s, sector), equipment_wide(s, sector)
+    return tuple(cut_lineage(f) for f in frames) if materialise else frames
+
+
 def _both(trips: DataFrame, equipment: DataFrame, period: Period, *columns: str) -> DataFrame:
     """Emissions of both kinds in a period, tagged by source."""
     parts = [

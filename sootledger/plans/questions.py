@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sootledger import domain
@@ -29,7 +29,8 @@ from sootledger.operators.filters import (
 )
 from sootledger.operators.joins import semi_in, star
 from sootledger.operators.ranking import order_rows, top_n
-from sootledger.sources.warehouse import Star
+from sootledger.sinks.ledger import Layout
+from sootledger.sources.warehouse import Star, load_star
 
 TRIP_DAY, BUY_DAY = "ID_DATE_MISSION", "ID_DATE_ACHAT"
 
@@ -42,15 +43,17 @@ def _purchases(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return star(fact, dim, "ID_MATERIEL")
 
 
-def _of_people(rows: DataFrame, people: DataFrame) -> DataFrame:
-    return star(rows, people.select("ID_PERSONNEL", "FONCTION_PERSONNEL"), "ID_PERSONNEL")
+def _per_person(rows: DataFrame, people: DataFrame, *keys: str) -> DataFrame:
+    """Impact summed per person (and more keys) and joined to the people asked for.
+
+    The sum comes first: a person with very many rows is one row in the join.
+    """
+    summed = rows.groupBy("ID_PERSONNEL", *keys).agg(F.sum("IMPACT").alias("IMPACT"))
+    return star(summed, people.select("ID_PERSONNEL", "FONCTION_PERSONNEL"), "ID_PERSONNEL")
 
 
 def _tonnes_per_sector(rows: DataFrame, people: DataFrame) -> DataFrame:
-    """Sum per person before joining people: a person with very many rows is one row there."""
-    per_person = rows.groupBy("ID_PERSONNEL").agg(F.sum("IMPACT").alias("IMPACT"))
-    joined = star(per_person, people.select("ID_PERSONNEL", "FONCTION_PERSONNEL"), "ID_PERSONNEL")
-    return tonnes_by(joined, ["FONCTION_PERSONNEL"], "impact_total_tonnes")
+    return tonnes_by(_per_person(rows, people), ["FONCTION_PERSONNEL"], "impact_total_tonnes")
 
 
 def q1(s: Star, sector: str = "Cadre", site: str = "paris") -> DataFrame:
@@ -108,7 +111,7 @@ def q6(
     fact = ci_in(between_days(s.fait_materiel, BUY_DAY, start, end), "ID_SITE", sites)
     bought = _purchases(fact, ci_equals(s.dim_materiel, "TYPE", kind))
     people = ci_equals(s.dim_personnel, "FONCTION_PERSONNEL", sector)
-    return total_tonnes(_of_people(bought, people), "impact_pc_portables_tonnes")
+    return total_tonnes(_per_person(bought, people), "impact_pc_portables_tonnes")
 
 
 def q7(
@@ -122,7 +125,7 @@ def q7(
     fact = between_days(s.fait_materiel, BUY_DAY, start, end)
     bought = _purchases(fact, ci_equals(s.dim_materiel, "TYPE", kind))
     people = ci_equals(s.dim_personnel, "FONCTION_PERSONNEL", sector)
-    return total_tonnes(_of_people(bought, people), "impact_ecrans_tonnes")
+    return total_tonnes(_per_person(bought, people), "impact_ecrans_tonnes")
 
 
 def q8(
@@ -229,8 +232,11 @@ def q15(
     fact = between_days(s.fait_mission, TRIP_DAY, start, end)
     trips = _trips(fact, ci_equals(s.dim_mission, "TYPE_MISSION", kind).select("ID_MISSION"))
     people = ci_equals(s.dim_personnel, "FONCTION_PERSONNEL", sector)
-    aged = star(trips, people.select("ID_PERSONNEL", "DT_NAISS"), "ID_PERSONNEL")
-    return aged.agg(F.avg(years_between(TRIP_DAY, "DT_NAISS")).alias("age_moyen"))
+    days = trips.groupBy("ID_PERSONNEL", TRIP_DAY).agg(F.count(F.lit(1)).alias("n"))
+    aged = star(days, people.select("ID_PERSONNEL", "DT_NAISS"), "ID_PERSONNEL")
+    age = years_between(TRIP_DAY, "DT_NAISS")
+    weight = F.when(age.isNotNull(), F.col("n"))
+    return aged.agg(F.try_divide(F.sum(age * weight), F.sum(weight)).alias("age_moyen"))
 
 
 def q16(s: Star, start: str = "2026-05-01", end: str = "2026-10-31", n: int = 1) -> DataFrame:
@@ -251,7 +257,7 @@ def q17(
     """The three kinds of trip with the greatest impact, executives in Europe in May."""
     fact = ci_in(between_days(s.fait_mission, TRIP_DAY, start, end), "ID_SITE", sites)
     people = ci_equals(s.dim_personnel, "FONCTION_PERSONNEL", sector)
-    trips = _of_people(_trips(fact, s.dim_mission), people)
+    trips = _per_person(_trips(fact, s.dim_mission), people, "TYPE_MISSION")
     totals = tonnes_by(trips, ["TYPE_MISSION"], "impact_total_tonnes")
     return top_n(totals, "impact_total_tonnes", n, ["TYPE_MISSION"])
 
@@ -307,3 +313,10 @@ def run_questions(
         except Exception as e:  # the caller shows the failure beside the other results
             results[name] = e
     return results
+
+
+def run_questions_on(
+    spark: SparkSession, layout: Layout, version: str, wanted: Sequence[str]
+) -> dict[str, DataFrame | Exception]:
+    """Several questions asked of one stored version: a label or a day."""
+    return run_questions(load_star(spark, layout, version), wanted)

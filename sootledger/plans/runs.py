@@ -18,6 +18,7 @@ from sootledger.plans.enrich import (
     clean_equipment,
     clean_trips,
     complete_distances,
+    distance_reference,
     missing_distances,
     personnel_dimension,
 )
@@ -28,6 +29,7 @@ from sootledger.sources.drops import (
     read_equipment_drops,
     read_personnel_drops,
     read_trip_drops,
+    read_trip_places,
 )
 from sootledger.sources.references import (
     band_factors,
@@ -78,6 +80,14 @@ def with_stored_distances(spark: SparkSession, layout: Layout, refs: References)
     return replace(refs, distances=complete_distances(refs.distances, stored))
 
 
+def build_distances(
+    spark: SparkSession, layout: Layout, drops: str, coordinates: DataFrame
+) -> None:
+    """Distances of all pairs in the trip files, written as one full load."""
+    pairs = distance_reference(read_trip_places(spark, drops), coordinates)
+    append_distances(pairs, layout, "full")
+
+
 def load_trips(
     spark: SparkSession, layout: Layout, raw: DataFrame, refs: References, load: str
 ) -> None:

@@ -74,18 +74,16 @@ def with_keys(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_snapshot(df: DataFrame, table: str, path: str) -> None:
-    """Full table, range-partitioned so that day filters skip files and row groups.
+    """Full table in files of even size; a fact file holds few days, sorted.
 
-    The primary key is the second range column: one busy day is split as well.
+    Rows are rebalanced rather than range-partitioned: nothing is sampled, the
+    number of files follows the size of the table, and one busy day is split
+    over several files. Day filters then skip whole files by their statistics.
     """
-    order = [c for c in (schemas.DATE_COLUMN.get(table), schemas.PRIMARY_KEY[table]) if c]
-    (
-        with_keys(df, table)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
+    day = schemas.DATE_COLUMN.get(table)
+    order = [c for c in (day, schemas.PRIMARY_KEY[table]) if c]
+    even = df.hint("rebalance", day) if day else df.hint("rebalance")
+    with_keys(even, table).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -140,10 +140,11 @@ def as_of(spark: SparkSession, layout: Layout, day: dt.date) -> Star:
 
 
 def days_available(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Days that have a delta, ascending; only partition values are looked at."""
-    parts = [read_deltas(spark, layout, t).select("ingest_date") for t in LOG_OF]
-    days = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    return days.distinct().orderBy("ingest_date")
+    """Days that brought rows, ascending: every such day has facts of one kind or the other."""
+    trips, goods = (
+        read_deltas(spark, layout, t).select("ingest_date") for t in ("FAIT_MISSION", "FAIT_MATERIEL")
+    )
+    return trips.unionByName(goods).distinct().orderBy("ingest_date")
 
 
 def versions_available(spark: SparkSession, layout: Layout) -> DataFrame:

@@ -96,6 +96,42 @@ def test_a_hot_key_is_cut_before_the_shuffle(spark):
         assert plan.index("Exchange hashpartitioning") < plan.index("row_number(), 1, Partial")
 
 
+def test_snapshot_write_is_rebalanced_by_day(spark):
+    df = mapped_star(spark, SF).fait_mission
+    plan = plan_of(df.hint("rebalance", "ID_DATE_MISSION").sortWithinPartitions("ID_DATE_MISSION"), "simple")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_a_hot_join_key_is_split_over_tasks(spark):
+    """A third of the facts have one key; adaptive execution splits its partition."""
+    changed = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        fact = spark.range(0, 300_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("ID_MISSION"),
+            F.sha2(F.col("id").cast("string"), 256).alias("ID_SITE"))
+        dim = spark.range(300_000).select(
+            F.col("id").cast("string").alias("ID_MISSION"), F.lit(1.0).alias("IMPACT")
+        ).unionByName(spark.createDataFrame([("hot", 2.0)], "ID_MISSION string, IMPACT double"))
+        joined = star_join(fact, dim, "ID_MISSION")
+        total = joined.agg(F.sum("IMPACT").alias("s"), F.max("ID_SITE").alias("m"))
+        assert total.collect()[0][0] == 200_000 + 2 * 100_000
+        assert "isSkew=true" in total._jdf.queryExecution().executedPlan().toString() or (
+            "skewed" in total._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     source = mapped_star(spark, SF)
     names = {"FAIT_MISSION": source.fait_mission, "DIM_MISSION": source.dim_mission}

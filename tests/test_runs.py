@@ -212,6 +212,15 @@ def test_rebuild_without_snapshot(spark, delivered, refs, tmp_path):
     assert load_metadata(spark, layout).first()["source"] == "daily_folders"
 
 
+def test_full_distance_build(spark, delivered, refs, tmp_path):
+    layout = Layout(str(tmp_path / "distances-only"))
+    runs.build_distances(spark, layout, delivered, refs.coordinates)
+    runs.build_distances(spark, layout, delivered, refs.coordinates)
+    known = runs.with_stored_distances(spark, layout, refs).distances
+    assert rows(known, "VILLE_DESTINATION", "DISTANCE_KM") == [
+        ("London", 343.92), ("Osaka", 9656.61), ("Paris", 8.0)]
+
+
 def test_questions_and_panels_on_loaded_tables(spark, loaded):
     star = load_star(spark, loaded)
     register_views(star)
@@ -227,7 +236,10 @@ def test_questions_and_panels_on_loaded_tables(spark, loaded):
     assert [r[-1] for r in values["q18"]][0] == "m2 (Conférence -> Osaka)"
     assert {r[1] for r in values["q20"]} == {"Missions", "Matériel Informatique"}
 
-    trips, goods = panels.trips_wide(star), panels.equipment_wide(star)
+    again = questions.run_questions_on(spark, loaded, str(D1), ["q4"])
+    assert rows(again["q4"]) == [(0,)]
+
+    trips, goods = panels.analytical_frames(star, materialise=True)
     total = panels.kpis(trips, goods).first()["total"]
     per_site = sum(r["tCO2e"] for r in panels.by_site(trips, goods).collect())
     per_sector = sum(r["tCO2e"] for r in panels.by_sector(trips, goods, star.dim_personnel).collect())
