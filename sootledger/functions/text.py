@@ -40,8 +40,10 @@ def contains_text(c: Column | str, text: str) -> Column:
 
 
 def is_default_model(c: Column | str) -> Column:
-    folded = F.translate(F.lower(strip(c)), "èé", "ee")
-    return F.coalesce(folded == domain.DEFAULT_MODEL, F.lit(False))
+    text = strip(c)
+    same_length = F.length(text) == len(domain.DEFAULT_MODEL)  # spares most rows the folding
+    folded = F.translate(F.lower(text), "èé", "ee")
+    return F.coalesce(same_length & (folded == domain.DEFAULT_MODEL), F.lit(False))
 
 
 def _literal_map(mapping: Mapping[str, str]) -> Column:

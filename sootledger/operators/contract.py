@@ -34,6 +34,11 @@ def keep_columns(
     return df.select(*kept, *[c for c in also if c in df.columns]), missing
 
 
+def as_null(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Absent text columns as NULL, so that a job goes on without them."""
+    return df.withColumns({c: F.lit(None).cast("string") for c in columns})
+
+
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
 

@@ -20,7 +20,7 @@ from sootledger.functions.text import (
     translate_values,
     transport_code,
 )
-from sootledger.operators.contract import keep_columns, rename
+from sootledger.operators.contract import as_null, keep_columns, rename
 from sootledger.operators.joins import (
     append_reference,
     band_lookup,
@@ -35,6 +35,12 @@ from sootledger.sources.drops import dedupe_file_rows
 ENDS = [("VILLE_DEPART", "PAYS_DEPART"), ("VILLE_DESTINATION", "PAYS_DESTINATION")]
 
 
+def _kept(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct file rows with the kept columns; an absent one is reported and NULL."""
+    df, missing = keep_columns(dedupe_file_rows(raw), columns, schemas.LINEAGE)
+    return as_null(df, missing)
+
+
 # ── Equipment ────────────────────────────────────────────────────────────────
 
 
@@ -48,18 +54,20 @@ def equipment_impact(df: DataFrame, by_model: DataFrame, by_type: DataFrame) ->
     df = df.withColumns({"MODELE": blank_to_null("MODELE"), "TYPE": blank_to_null("TYPE")})
     df = lookup(df, by_model.withColumnRenamed("IMPACT", "_by_model"), "MODELE")
     df = lookup(df, by_type.withColumnRenamed("IMPACT", "_by_type"), "TYPE")
+    no_type, no_model = F.col("TYPE").isNull(), F.col("MODELE").isNull()
     default = is_default_model("MODELE")
     impact = (
-        F.when(default & F.col("TYPE").isNull(), F.lit(domain.UNTYPED_DEFAULT_IMPACT))
-        .when(default | F.col("MODELE").isNull(), F.col("_by_type"))
-        .otherwise(F.col("_by_model"))
+        F.when(no_model, F.col("_by_type"))
+        .when(~default, F.col("_by_model"))
+        .when(no_type, F.lit(domain.UNTYPED_DEFAULT_IMPACT))
+        .otherwise(F.col("_by_type"))
     )
     return df.withColumn("IMPACT", impact).drop("_by_model", "_by_type")
 
 
 def clean_equipment(raw: DataFrame, by_model: DataFrame, by_type: DataFrame) -> DataFrame:
     """Raw equipment rows with lineage to rows of FAIT_MATERIEL plus DIM_MATERIEL."""
-    df, _ = keep_columns(dedupe_file_rows(raw), domain.EQUIPMENT_COLUMNS, schemas.LINEAGE)
+    df = _kept(raw, domain.EQUIPMENT_COLUMNS)
     df = df.withColumn("DATE_ACHAT", to_day("DATE_ACHAT"))
     df = rename(df, {"DATE_ACHAT": "ID_DATE_ACHAT", "ID_MATERIELINFO": "ID_MATERIEL"})
     df = df.withColumn("ID_SITE", site_of("ID_PERSONNEL"))
@@ -124,7 +132,7 @@ def add_distance(trips: DataFrame, distances: DataFrame) -> DataFrame:
 
 def clean_trips(raw: DataFrame, distances: DataFrame, bands: DataFrame) -> DataFrame:
     """Raw trip rows with lineage to rows of FAIT_MISSION plus DIM_MISSION."""
-    df, _ = keep_columns(dedupe_file_rows(raw), domain.TRIP_COLUMNS, schemas.LINEAGE)
+    df = _kept(raw, domain.TRIP_COLUMNS)
     df = df.withColumns({c: translate_values(c) for c in ("TYPE_MISSION", "TRANSPORT")})
     df = df.withColumn("DATE_MISSION", to_day("DATE_MISSION"))
     df = trip_impact(add_distance(df, distances), bands)
@@ -154,11 +162,9 @@ def unlocated_places(trips: DataFrame, coordinates: DataFrame) -> DataFrame:
 
 def personnel_dimension(raw: DataFrame) -> DataFrame:
     """Raw personnel rows with lineage to DIM_PERSONNEL; the first row of an id counts."""
-    lineage: Sequence[str] = [c for c in schemas.LINEAGE if c in raw.columns]
-    df, _ = keep_columns(dedupe_file_rows(raw), domain.PERSONNEL_COLUMNS, lineage)
+    df = _kept(raw, domain.PERSONNEL_COLUMNS)
     df = df.withColumn("FONCTION_PERSONNEL", translate_values("FONCTION_PERSONNEL"))
     df = df.withColumn("ID_SITE", site_of("ID_PERSONNEL"))
-    if "DT_NAISS" in df.columns:
-        df = df.withColumn("DT_NAISS", to_day("DT_NAISS"))
+    df = df.withColumn("DT_NAISS", to_day("DT_NAISS"))
     df = first_per_key(df, "ID_PERSONNEL", ["load_order"])
-    return df.select(*[c for c in schemas.names(schemas.DIM_PERSONNEL) if c in df.columns])
+    return df.select(*schemas.names(schemas.DIM_PERSONNEL))

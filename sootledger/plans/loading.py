@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sootledger.operators.joins import unseen
 from sootledger.operators.ranking import first_per_key, last_per_key
 
 DAY, PLACE = "ingest_date", "load_order"
@@ -33,12 +34,16 @@ def dim_delta_of(
     """``dim_delta`` restricted to some days, without ranking the whole history.
 
     ``known`` holds (key, ingest_date) of the deltas of all other days. A key is
-    there once, not once per row ever sent, and only two columns of it are read.
+    there once, not once per row ever sent. History is on the streamed side of a
+    semi join with the keys of these days, so it is only scanned, not shuffled,
+    while those keys are small enough to broadcast; what is left to compare has
+    the size of these days.
     """
     fresh = dim_delta(some_days, pk, columns)
-    before = known.select(F.col(pk).alias("_known"), F.col(DAY).alias("_known_day"))
-    seen = (F.col(pk) == F.col("_known")) & (F.col("_known_day") < F.col(DAY))
-    return fresh.join(before, seen, "left_anti")
+    asked = fresh.select(F.col(pk).alias("_asked"), F.col(DAY).alias("_asked_day"))
+    seen_before = (F.col(pk) == F.col("_asked")) & (F.col(DAY) < F.col("_asked_day"))
+    seen = known.select(pk, DAY).join(asked, seen_before, "left_semi")
+    return unseen(fresh, seen, pk)
 
 
 def fact_rows(log: DataFrame, columns: Sequence[str]) -> DataFrame:

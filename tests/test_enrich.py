@@ -133,3 +133,13 @@ def test_clean_trips_edge_rows(spark, refs):
     assert got["m1"]["IMPACT"] == pytest.approx(344.2 * 0.2586 * 2, abs=1e-4)
     assert got["m2"]["ID_DATE_MISSION"] is None and got["m2"]["ID_SITE"] is None
     assert got["m2"]["IMPACT"] is None
+
+
+def test_absent_column_is_reported_and_null(spark, refs, caplog):
+    raw = spark.createDataFrame(
+        [("b1", "KeyPers_LA_1", "2026-06-01 10:00:00", "ProBook", dt.date(2026, 6, 1), "LA", 1)],
+        "ID_MATERIELINFO string, ID_PERSONNEL string, DATE_ACHAT string, MODELE string, "
+        "ingest_date date, site_dir string, load_order bigint")
+    out = enrich.clean_equipment(raw, refs.by_model, refs.by_type)
+    assert rows(out, "ID_MATERIEL", "TYPE", "IMPACT", "ID_SITE") == [("b1", None, 210.0, "LA")]
+    assert "TYPE" in caplog.text
