@@ -22,7 +22,7 @@ from sootledger.plans.enrich import (
     missing_distances,
     personnel_dimension,
 )
-from sootledger.plans.loading import dim_delta_of, dim_snapshot, fact_rows
+from sootledger.plans.loading import dim_delta_of, fact_rows
 from sootledger.session import tune
 from sootledger.sinks.ledger import Layout, append_distances, publish, write_days
 from sootledger.sources.drops import (
