@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,19 +125,13 @@ def _rows_of_bands(table: DataFrame, bands: list[Column]) -> DataFrame:
 def with_band_bounds(factors: DataFrame) -> DataFrame:
     """Attach code and bounds of the fixed bands to (BAND, FACTOR) rows."""
 
-    def pick(position: int, kind: str):
-        cases = [
-            F.when(F.col("BAND") == b[0], F.lit(b[position]).cast(kind))
-            for b in domain.DISTANCE_BANDS
-        ]
-        return reduce(lambda a, c: F.coalesce(a, c), cases)
-
-    return factors.select(
-        "BAND",
-        pick(1, "string").alias("CODE"),
-        pick(2, "double").alias("LO"),
-        pick(3, "boolean").alias("LO_IN"),
-        pick(4, "double").alias("HI"),
-        pick(5, "boolean").alias("HI_IN"),
-        F.col("FACTOR").cast("double").alias("FACTOR"),
+    def km(bound: float | None) -> str:
+        return f"CAST({'NULL' if bound is None else bound} AS DOUBLE)"
+
+    cases = " ".join(
+        f"WHEN '{band}' THEN named_struct('CODE', '{code}', 'LO', {km(lo)}, 'LO_IN', {lo_in}, "
+        f"'HI', {km(hi)}, 'HI_IN', {hi_in})"
+        for band, code, lo, lo_in, hi, hi_in in domain.DISTANCE_BANDS
     )
+    bounds = factors.withColumn("_of", F.expr(f"CASE BAND {cases} END"))
+    return bounds.select("BAND", "_of.*", F.col("FACTOR").cast("double").alias("FACTOR"))
