@@ -74,9 +74,11 @@ def read_references(spark: SparkSession, paths: Mapping[str, str]) -> References
 
 def with_stored_distances(spark: SparkSession, layout: Layout, refs: References) -> References:
     """References completed with the distances that earlier loads computed."""
-    schema = T.StructType([*schemas.DISTANCE_REFERENCE.fields, T.StructField("load", T.StringType())])
+    schema = T.StructType(list(schemas.DISTANCE_REFERENCE.fields))
+    schema = schema.add("added_at", "timestamp").add("load", "string")
     stored = or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.distances), schema)
-    stored = last_per_key(stored, domain.DISTANCE_KEYS, ["load"]).drop("load")
+    stored = last_per_key(stored, domain.DISTANCE_KEYS, ["added_at", "load"])
+    stored = stored.drop("added_at", "load")
     return replace(refs, distances=complete_distances(refs.distances, stored))
 
 
@@ -85,7 +87,7 @@ def build_distances(
 ) -> None:
     """Distances of all pairs in the trip files, written as one full load."""
     pairs = distance_reference(read_trip_places(spark, drops), coordinates)
-    append_distances(pairs, layout, "full")
+    append_distances(pairs, layout, "full", refresh=True)
 
 
 def load_trips(

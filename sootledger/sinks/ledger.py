@@ -132,9 +132,17 @@ def publish(
     return version
 
 
-def append_distances(df: DataFrame, layout: Layout, load: str) -> None:
-    """Add distance rows under a load label; repeating a load replaces its own rows."""
-    write_days(df.withColumn("load", F.lit(load)), layout.distances, ("load",))
+def append_distances(df: DataFrame, layout: Layout, load: str, refresh: bool = False) -> None:
+    """Add distance rows under a load label; readers take the newest row of a pair.
+
+    Rows are appended, never replaced: a load that runs again brings only the
+    pairs it still lacked. ``refresh`` replaces the rows of the label instead.
+    """
+    rows = df.withColumn("added_at", F.current_timestamp()).withColumn("load", F.lit(load))
+    if refresh:
+        write_days(rows, layout.distances, ("load",))
+    else:
+        rows.write.mode("append").partitionBy("load").parquet(layout.distances)
 
 
 def export_csv(df: DataFrame, path: str, by_day: bool = False) -> None:

@@ -162,6 +162,18 @@ def test_rerun_changes_nothing(spark, delivered, refs, loaded):
         assert rows(read_deltas(spark, loaded, t)) == old
 
 
+def test_a_range_run_again_keeps_the_distances_it_had(spark, drops, refs, tmp_path):
+    paris = "KeyPers_Paris_1"
+    layout = Layout(str(tmp_path / "again"))
+    drops.trips("PARIS", D1, [trip("m1", paris, D1, end="Osaka;Japan")])
+    runs.run_range(spark, layout, str(drops.root), refs, D1, D3, labels=())
+    drops.trips("PARIS", D3, [trip("m2", paris, D3, end="Paris;USA")])
+    runs.run_range(spark, layout, str(drops.root), refs, D1, D3, labels=())
+    distances = dict(rows(read_log(spark, layout, "mission"), "ID_MISSION", "DISTANCE_KM"))
+    assert distances["m1"] == pytest.approx(9656.61, abs=0.02)
+    assert distances["m2"] == pytest.approx(7801.64, abs=0.02)
+
+
 def test_day_by_day_equals_one_pass(spark, delivered, refs, loaded, tmp_path):
     daily = Layout(str(tmp_path / "daily"))
     runs.initialise(spark, daily, delivered)
