@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,13 +17,34 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows can hold long texts: small batches bound what a Python worker holds at once.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their Python can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    if not package.is_dir():
+        return  # imported from an archive that was shipped already
+    archive = Path(tempfile.mkdtemp(prefix="sootledger-")) / "sootledger.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to an existing session."""
+    """Apply the runtime settings to an existing session and send it the package."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
@@ -39,6 +62,7 @@ def local_session(name: str, cores: str | int = "*", partitions: int = 8) -> Spa
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
