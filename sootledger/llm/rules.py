@@ -125,18 +125,22 @@ def rated(docs: DataFrame, ratios: list[float], least: float = LEAST_RATIO) -> D
     four = three.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    return four.withColumns({"base_failed": failed, "ratio": F.col("_sum") / grams}).withColumn(
+    five = four.withColumns({"base_failed": failed, "ratio": F.col("_sum") / grams}).withColumn(
         "kept", ~F.col("base_failed") & (F.col("ratio") >= least)
-    ).drop("_sum", "_sorted")
+    )
+    # Behind a generator: a caller's filter would else be pushed below the projections, and
+    # repeat their work inside every lambda.
+    found = [c for c in five.columns if c not in (*docs.columns, "_sum", "_sorted")]
+    return five.select(*docs.columns, F.explode(F.array(F.struct(*found))).alias("_found")).select(
+        *docs.columns, "_found.*"
+    )
 
 
 def kept(docs: DataFrame, ratios: list[float]) -> DataFrame:
     """The documents that pass, all columns as they were."""
     columns = docs.columns
-    judged = rated(docs.select(F.col("text"), F.struct(*columns).alias("_row")), ratios)
-    # A filter would be pushed below the projections and repeat their work inside every lambda.
-    row = F.explode(F.when(F.col("kept"), F.array("_row")).otherwise(F.array().cast(f"array<{docs.schema.simpleString()}>")))
-    return judged.select(row.alias("_row")).select(*(F.col("_row").getField(c).alias(c) for c in columns))
+    judged = rated(docs.select(F.col("text"), F.struct(*columns).alias("_row")), ratios).where("kept")
+    return judged.select(*(F.col("_row").getField(c).alias(c) for c in columns))
 
 
 def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,13 +12,12 @@ from sootledger.llm.shared import cut, documents, running_start
 SHARES = 1024
 
 
-def _admitted(demand: list, room: list[int]) -> list[int]:
-    """For each shard the last share of its movers that still finds room, -1 for none."""
-    last, used = [-1] * len(room), [0] * len(room)
-    closed = [False] * len(room)
-    for shard, share, n in sorted(demand):
-        if not closed[shard] and used[shard] + n <= room[shard]:
-            used[shard] += n
+def _admitted(demand: dict, room: list[int]) -> list[int]:
+    """For each shard the last share of its movers that still finds room, -1 for none. Takes them out of the room."""
+    last, closed = [-1] * len(room), [False] * len(room)
+    for (shard, share), n in sorted(demand.items()):
+        if not closed[shard] and n <= room[shard]:
+            room[shard] -= n
             last[shard] = share
         else:
             closed[shard] = True
@@ -28,41 +27,56 @@ def _admitted(demand: list, room: list[int]) -> list[int]:
 def propagate(linked: DataFrame, shards: int, capacity: list[int], rounds: int = 12) -> DataFrame:
     """Move documents (hub, members, tie) to the shards where most of their hub's documents are.
 
-    A hub links its documents. In each round it names the shard with most of its documents (as
-    many shards as it needs, if it is larger than one), documents elsewhere ask to move there, and a
-    shard admits as many as it has room for, by hash of hub, or of document for large hubs. What
-    reaches the driver is counts per shard and share of the hash space.
+    A hub links its documents. In each round it names the shard with most of its documents, or as
+    many shards as it needs if it is larger than one; documents elsewhere ask to move there, and a
+    shard admits as many as it has room for, by hash of hub, or of document for large hubs. Large hubs
+    go first, and small ones leave a shard that is above its count. What reaches the driver is counts
+    per shard and share of the hash space.
     """
     size = max(1, min(capacity))
-    state = cut(linked.withColumn("shard", F.pmod(F.xxhash64("tie", F.lit(5)), F.lit(shards)).cast("int")))
-    quotas = F.array(*(F.lit(0) for _ in range(shards)))
-    for _ in range(rounds):
-        votes = state.groupBy("hub", "members", "shard").agg(F.count(F.lit(1)).alias("n"))
-        ranked = F.sort_array(F.collect_list(F.struct("n", F.xxhash64("hub", "shard").alias("h"), "shard")), asc=False)
-        named = votes.groupBy("hub").agg(
-            F.slice(ranked, 1, F.ceil(F.first("members") / size).cast("int")).getField("shard").alias("named")
+    state = linked.withColumn("large", F.col("members") * 8 > size)
+    state = cut(state.withColumn("shard", F.pmod(F.xxhash64("tie", F.lit(5)), F.lit(shards)).cast("int")))
+    full = [False] * shards
+    for turn in range(rounds):
+        open_ = [s for s in range(shards) if not full[s]] or list(range(shards))
+        is_full, others = F.array(*map(F.lit, full)), F.array(*map(F.lit, open_))
+        votes = state.groupBy("hub", "members", "large", "shard").agg(F.count(F.lit(1)).alias("n"))
+        vote = F.struct((F.col("large") | ~F.get(is_full, F.col("shard"))).alias("fits"), "n",
+                        F.xxhash64("hub", "shard").alias("h"), "shard")
+        named = (
+            votes.groupBy("hub", "members").agg(F.sort_array(F.collect_list(vote), asc=False).alias("ranked"))
+            .withColumn("named", F.slice("ranked", 1, F.ceil(F.col("members") / size).cast("int")).getField("shard"))
+            .withColumn("named", F.when(F.get("ranked", F.lit(0)).getField("fits"), F.col("named")).otherwise(
+                F.array(F.get(others, F.pmod(F.xxhash64("hub", F.lit(turn)), F.lit(len(open_))).cast("int")))))
+            .select("hub", "named")
         )
         pick = F.get("named", F.pmod(F.xxhash64("tie"), F.size("named")).cast("int"))
         want = F.when(F.array_contains("named", F.col("shard")), F.col("shard")).otherwise(pick)
-        share = F.pmod(F.xxhash64("hub", F.when(F.col("members") * 8 > size, F.col("tie"))), F.lit(SHARES)).cast("int")
+        share = F.pmod(F.xxhash64("hub", F.when(F.col("large"), F.col("tie"))), F.lit(SHARES)).cast("int")
         asked = cut(state.join(named, "hub").withColumns({"want": want, "share": share}).drop("named"))
-        moves = asked.groupBy("shard", "want", F.when(F.col("want") != F.col("shard"), F.col("share")).alias("share"))
-        moves = moves.count().collect()
-        stays, demand = [0] * shards, {}
-        for r in moves:
-            if r["share"] is None:
-                stays[r["shard"]] += r["count"]
-            else:
-                demand[r["want"], r["share"]] = demand.get((r["want"], r["share"]), 0) + r["count"]
-        if not demand:
+        moves = asked.groupBy("large", "shard", "want", F.when(F.col("want") != F.col("shard"), F.col("share")).alias("share"))
+        room, last, asking = list(capacity), {}, False
+        found = moves.count().collect()
+        for large in (True, False):
+            demand: dict = {}
+            for r in (r for r in found if r["large"] == large):
+                if r["share"] is None:
+                    room[r["shard"]] -= r["count"]
+                else:
+                    demand[r["want"], r["share"]] = demand.get((r["want"], r["share"]), 0) + r["count"]
+            asking |= bool(demand)
+            last[large] = _admitted(demand, room)
+        admitted = {large: F.get(F.array(*map(F.lit, last[large])), F.col("want")) for large in last}
+        enters = F.col("share") <= F.when(F.col("large"), admitted[True]).otherwise(admitted[False])
+        state = asked.withColumn("shard", F.when(enters, F.col("want")).otherwise(F.col("shard"))).drop("want", "share")
+        load = [0] * shards
+        for r in found:
+            enters_now = r["share"] is not None and r["share"] <= last[r["large"]][r["want"]]
+            load[r["want"] if enters_now else r["shard"]] += r["count"]
+        full = [n > c for n, c in zip(load, capacity)]
+        if not asking or (max(last[True] + last[False]) < 0 and not any(full)):
             break
-        last = _admitted([(*k, n) for k, n in demand.items()], [c - s for c, s in zip(capacity, stays)])
-        quotas = F.array(*map(F.lit, last))
-        moved = F.when(F.col("share") <= F.get(quotas, F.col("want")), F.col("want")).otherwise(F.col("shard"))
-        state = asked.withColumn("shard", moved).drop("want", "share")
-        if all(n < 0 for n in last):
-            break
-    return state
+    return state.drop("large")
 
 
 def _place(number, limits: list[int]):
