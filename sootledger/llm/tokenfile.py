@@ -76,10 +76,10 @@ def read_tokens(spark: SparkSession, folder: str, columns: tuple = ("doc_id", "n
         return files.select(*columns, F.lit(0).cast("long").alias("start"))
     before = list(accumulate([0] + [n for _, n in sums]))
     base = spark.createDataFrame([(f, b) for (f, _), b in zip(sums, before)], "file string, base long")
-    # One row per file of the table: as many as its writers had tasks.
+    # One row per file of the table, all of which the driver has just seen: safe to broadcast.
     return (
         files.withColumn("file", name)
-        .join(base, "file")
+        .join(F.broadcast(base), "file")
         .select(*columns, (F.col("base") + F.col("offset")).alias("start"))
     )
 

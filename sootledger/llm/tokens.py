@@ -14,14 +14,25 @@ _CUT = re.compile(r" (?=\S)")
 _UNSAFE = re.compile(r" (?=\s|$)")
 
 
+# Marks that follow a word as a piece of their own.
+_MARKS = frozenset(".,;:!?")
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it prints, else one from 256 on."""
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in printing else next(others)) for b in range(256)}
+
+
 class Encoder:
     """Encodes texts with a byte-level vocabulary file; strings of special tokens are ordinary text.
 
     Texts fall apart at spaces before words. The ids of words met before are remembered, up to
-    `limit` words; all new words of a batch are encoded in one call.
+    `limit` words and those of one batch; all new words of a batch are encoded in one call.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -32,6 +43,13 @@ class Encoder:
         self._bytes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for piece, i in vocabulary.items():
             self._bytes[i] = len(piece)
+        self._model = self._tokenizer.model
+        if hasattr(self._model, "_resize_cache"):
+            self._model._resize_cache(0)  # the words are remembered here
+        self._characters = byte_characters()
+        self._space = self._characters[0x20]
+        self._raw = [int(i).to_bytes(4, "little") for i in range(len(self._bytes))]
+        self._marks = {m: b"".join([self._raw[t.id] for t in self._model.tokenize(m)]) for m in _MARKS}
         self._known: dict[str, bytes] = {}
         self._limit = limit
 
@@ -40,7 +58,28 @@ class Encoder:
         return np.array(encoded, dtype="<u4")
 
     def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of each word with a space before it."""
+        """Ids of each word with a space before it.
+
+        A word of letters only is one piece for the vocabulary's model, and a mark behind it another; all
+        other words go through the whole tokenizer, in one call.
+        """
+        out, rest, raw = {}, [], self._raw
+        split, characters = self._model.tokenize, self._characters
+        for w in new:
+            if w.isalpha():
+                core, tail = w, b""
+            elif w[-1] in _MARKS and w[:-1].isalpha():
+                core, tail = w[:-1], self._marks[w[-1]]
+            else:
+                rest.append(w)
+                continue
+            if not core.isascii():
+                core = core.encode().decode("latin-1").translate(characters)
+            out[w] = b"".join([raw[t.id] for t in split(self._space + core)]) + tail
+        return out | self._learn_any(rest)
+
+    def _learn_any(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of each word with a space before it, for any word without a space before its first letter."""
         ids = self._ids("".join([f" {w}" for w in new]))
         ends = np.cumsum(self._bytes[ids])
         words = np.cumsum([len(w.encode()) + 1 for w in new])
@@ -64,7 +103,7 @@ class Encoder:
             seen.update(p)
         seen.discard("")
         known = self._known
-        if new := [w for w in seen if w not in known]:
+        if new := list(seen.difference(known)):
             known.update(self._learn(new))
         first = self._tokenizer.encode_batch_fast(heads, add_special_tokens=False)
         known[""] = b""
