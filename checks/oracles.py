@@ -187,7 +187,7 @@ _KIND_CASE = (
 )
 _FOLDED = "replace(replace(lower(trim(MODELE)), 'è', 'e'), 'é', 'e')"
 _IMPACT_VIEWS = (
-    f"""ref AS (SELECT NULLIF(trim(TYPE), '') AS t, NULLIF(trim(MODELE), '') AS mo,
+    f"""ref AS (SELECT trim(TYPE) AS t, NULLIF(trim(MODELE), '') AS mo,
         {_FOLDED} = 'modele par defaut' AS is_default, TRY_CAST(IMPACT AS DOUBLE) AS i, _position
         FROM impacts)""",
     """by_model AS (SELECT mo AS MODELE, arg_min(i, _position) AS IMPACT FROM ref
@@ -211,7 +211,7 @@ _GOODS = (
                 THEN t.IMPACT
             ELSE m.IMPACT END AS "IMPACT"
         FROM bought b LEFT JOIN by_model m ON b.MODELE = m.MODELE
-        LEFT JOIN by_type t ON b.TYPE = t.TYPE)""",
+        LEFT JOIN by_type t ON COALESCE(b.TYPE, '') = t.TYPE)""",
 )
 _GOODS_BASE = ("impacts", "raw_equipment")
 

@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# How delimited files are read: a doubled quote inside quotes is one quote, a backslash is
+# itself, blanks around a cell stay. A line break ends a row also inside quotes, so that large
+# files can be split.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "quote": '"', "escape": '"'}
+
+# The same for writing, so that what is written reads back as it was.
+CSV_WRITE_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def row_position(block_start: Column) -> Column:
     """Place of a row in its file.
 
@@ -32,7 +44,7 @@ def read_delimited(
     columns fails loudly instead of being read by position. Without a schema the
     column names come from the header, every column is text.
     """
-    reader = spark.read.option("sep", sep).option("header", True).option("enforceSchema", False)
+    reader = spark.read.option("sep", sep).options(**CSV_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     if glob is not None:

@@ -55,12 +55,13 @@ def matrix(
 ) -> DataFrame:
     """Cross table of sums, 0 where empty; rows and columns with a NULL key are left out.
 
-    Without ``columns`` Spark finds the column values with one extra job; with
-    it, rows of other columns must not exist or they would be lost from sight,
-    so pass the complete list.
+    One extra job finds the column values. Those listed in ``columns`` come first and
+    always, all others follow in order: nothing is lost.
     """
     filled = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
-    pivoted = filled.groupBy(row).pivot(column, list(columns) if columns else None)
+    listed = list(columns or [])
+    found = sorted(r[0] for r in filled.select(column).distinct().collect())
+    pivoted = filled.groupBy(row).pivot(column, listed + [c for c in found if c not in listed])
     return pivoted.agg(F.sum(value)).na.fill(0.0)
 
 

@@ -50,14 +50,14 @@ def unseen(df: DataFrame, known: DataFrame, on: Sequence[str] | str) -> DataFram
 def band_lookup(df: DataFrame, bands: DataFrame, code: str, value: str) -> DataFrame:
     """Left range join: equal code and value inside the band; open bounds are NULL.
 
-    ``bands`` has one row per band of the fixed band list, hence the hint.
+    Catalyst chooses how the bands, few by construction, meet the rows.
     """
     v = F.col(value)
     low = F.col("LO").isNull() | (v > F.col("LO")) | (F.col("LO_IN") & (v == F.col("LO")))
     high = F.col("HI").isNull() | (v < F.col("HI")) | (F.col("HI_IN") & (v == F.col("HI")))
     side = bands.withColumnRenamed("CODE", "_band_code")
     inside = (F.col(code) == F.col("_band_code")) & v.isNotNull() & low & high
-    return df.join(F.broadcast(side), inside, "left").drop("_band_code")
+    return df.join(side, inside, "left").drop("_band_code")
 
 
 def with_both_ends(

@@ -48,12 +48,13 @@ def equipment_impact(df: DataFrame, by_model: DataFrame, by_type: DataFrame) ->
     """IMPACT from TYPE and MODELE.
 
     No type and the default model: a constant. No model or the default model:
-    the type's default row. Otherwise the model's row, whatever the type, and
+    the type's default row, where no type is a type too. Otherwise the model's row, whatever the type, and
     NULL when the model is unknown. MODELE and TYPE come out trimmed.
     """
     df = df.withColumns({"MODELE": blank_to_null("MODELE"), "TYPE": blank_to_null("TYPE")})
     df = lookup(df, by_model.withColumnRenamed("IMPACT", "_by_model"), "MODELE")
-    df = lookup(df, by_type.withColumnRenamed("IMPACT", "_by_type"), "TYPE")
+    df = df.withColumn("_type", F.coalesce("TYPE", F.lit("")))
+    df = lookup(df, by_type.select(F.col("TYPE").alias("_type"), F.col("IMPACT").alias("_by_type")), "_type")
     no_type, no_model = F.col("TYPE").isNull(), F.col("MODELE").isNull()
     default = is_default_model("MODELE")
     impact = (
@@ -62,7 +63,7 @@ def equipment_impact(df: DataFrame, by_model: DataFrame, by_type: DataFrame) ->
         .when(no_type, F.lit(domain.UNTYPED_DEFAULT_IMPACT))
         .otherwise(F.col("_by_type"))
     )
-    return df.withColumn("IMPACT", impact).drop("_by_model", "_by_type")
+    return df.withColumn("IMPACT", impact).drop("_by_model", "_by_type", "_type")
 
 
 def clean_equipment(raw: DataFrame, by_model: DataFrame, by_type: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ from sootledger.operators.filters import (
 from sootledger.operators.joins import semi_in, star
 from sootledger.operators.ranking import order_rows, top_n
 from sootledger.sinks.ledger import Layout
+from sootledger.session import cut_lineage
 from sootledger.sources.warehouse import Star, load_star
 
 TRIP_DAY, BUY_DAY = "ID_DATE_MISSION", "ID_DATE_ACHAT"
@@ -305,11 +306,14 @@ QUESTIONS: dict[str, Callable[..., DataFrame]] = {
 def run_questions(
     s: Star, wanted: Sequence[str]
 ) -> dict[str, DataFrame | Exception]:
-    """Build several questions by name; one that fails does not stop the others."""
+    """Run several questions by name; one that fails, in its plan or while running, does not stop the others.
+
+    Each result is kept as a reliable checkpoint, so it is computed once, here.
+    """
     results: dict[str, DataFrame | Exception] = {}
     for name in wanted:
         try:
-            results[name] = QUESTIONS[name](s)
+            results[name] = cut_lineage(QUESTIONS[name](s))
         except Exception as e:  # the caller shows the failure beside the other results
             results[name] = e
     return results

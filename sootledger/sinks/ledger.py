@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sootledger import schemas
-from sootledger.files import or_empty
+from sootledger.files import CSV_WRITE_OPTIONS, or_empty
 
 MANIFEST = T.StructType(
     [
@@ -152,7 +152,7 @@ def export_csv(df: DataFrame, path: str, by_day: bool = False) -> None:
         write = write.option("partitionOverwriteMode", "dynamic")
     else:
         write = (df.coalesce(1) if df.isEmpty() else df).write
-    write.mode("overwrite").option("header", True).csv(path)
+    write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
 
 
 def save_bucketed(df: DataFrame, name: str, table: str, buckets: int) -> None:

@@ -34,10 +34,13 @@ def read_impacts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_impacts(reference: DataFrame, position: str = "_position") -> tuple[DataFrame, DataFrame]:
-    """(impact per MODELE, default impact per TYPE); the first row of a key counts."""
+    """(impact per MODELE, default impact per TYPE); the first row of a key counts.
+
+    A blank TYPE is a type of its own, written as the empty text; an absent cell is none.
+    """
     ref = reference.select(
         blank_to_null("MODELE").alias("MODELE"),
-        blank_to_null("TYPE").alias("TYPE"),
+        strip("TYPE").alias("TYPE"),
         to_number("IMPACT").alias("IMPACT"),
         F.col(position),
     )

@@ -16,6 +16,7 @@ from sootledger.plans.runs import (
 )
 from sootledger.session import tune
 from sootledger.sinks.ledger import Layout
+from sootledger.files import CSV_OPTIONS
 from sootledger.sources.drops import (
     EQUIPMENT_GLOB,
     TRIP_GLOB,
@@ -31,8 +32,7 @@ def _stream(
     reader = (
         spark.readStream.schema(schema)
         .option("sep", ";")
-        .option("header", True)
-        .option("enforceSchema", False)
+        .options(**CSV_OPTIONS)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files)
