@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sootledger.llm.shared import documents, held_out, words
 
 BUCKETS = 1 << 14
+BLOCKS = 1 << 14  # bitmaps of ids, 4 KB each
 RUN = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
@@ -35,19 +36,47 @@ def neighbours(hashes: str, apart: int) -> Column:
     return F.transform(left, lambda h, i: joined(h, F.get(hashes, i + apart)))
 
 
-def bucket_counts(docs: DataFrame) -> dict[int, int]:
-    """How often each bucket occurs among all words and pairs of neighbouring words.
+def flagged(docs: DataFrame, ids: DataFrame, most: int = BLOCKS) -> DataFrame:
+    """Add `trusted`: whether the document's id is among the given ids. NULL is not.
 
-    At most BUCKETS rows reach the driver.
+    The ids are folded into bitmaps of 32,768 neighbouring ids, 4 KB each. Up to `most` bitmaps are
+    broadcast, so no text moves; where the ids lie in more blocks, documents and ids meet in a
+    shuffle instead, with the same result.
     """
-    found = docs.select(words(F.col("text")).alias("found"))
-    pairs = found.select(F.explode(F.arrays_zip("found", F.slice("found", 2, F.greatest(F.size("found"), F.lit(1))).alias("after"))).alias("p"))
-    hashes = pairs.select(hashed(F.col("p.found")).alias("own"), hashed(F.col("p.after")).alias("after"), F.col("p.after").isNotNull().alias("has"))
-    grams = hashes.select(
-        F.explode(F.array(bucket(F.col("own")), F.when(F.col("has"), bucket(joined(F.col("own"), F.col("after")))))).alias("bucket")
+    ids = ids.where(F.col("doc_id").isNotNull()).select("doc_id")
+    block = F.bitmap_bucket_number("doc_id")
+    if ids.select(block.alias("_block")).distinct().limit(most + 1).count() > most:
+        met = docs.join(ids.distinct().withColumn("trusted", F.lit(True)), "doc_id", "left")
+        return met.withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    maps = ids.groupBy(block.alias("_block")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias("_map")
     )
-    counts = grams.groupBy("bucket").count().collect()
-    return {r[0]: r[1] for r in counts if r[0] is not None}
+    place = F.bitmap_bit_position("doc_id")
+    byte = F.substring("_map", F.floor(place / 8).cast("int") + 1, F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (place % 8).cast("int"))
+    met = docs.join(F.broadcast(maps), block == F.col("_block"), "left")
+    return met.withColumn("trusted", F.coalesce(bit == 1, F.lit(False))).drop("_block", "_map")
+
+
+def bucket_counts(docs: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """How often each bucket occurs among words and pairs of neighbouring words: in trusted texts, in all.
+
+    Takes rows (text, trusted). At most BUCKETS rows reach the driver.
+    """
+    found = docs.select("trusted", words(F.col("text")).alias("found"))
+    after = F.slice("found", 2, F.greatest(F.size("found"), F.lit(1))).alias("after")
+    pairs = found.select("trusted", F.explode(F.arrays_zip("found", after)).alias("p"))
+    hashes = pairs.select(
+        "trusted", hashed(F.col("p.found")).alias("own"), hashed(F.col("p.after")).alias("after"),
+        F.col("p.after").isNotNull().alias("has"),
+    )
+    pair = F.when(F.col("has"), bucket(joined(F.col("own"), F.col("after"))))
+    grams = hashes.select("trusted", F.explode(F.array(bucket(F.col("own")), pair)).alias("bucket"))
+    counts = (
+        grams.where(F.col("bucket").isNotNull())
+        .groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.count_if("trusted").alias("t")).collect()
+    )
+    return {r["bucket"]: r["t"] for r in counts}, {r["bucket"]: r["n"] for r in counts}
 
 
 def log_ratios(target: dict[int, int], raw: dict[int, int]) -> list[float]:
@@ -66,9 +95,8 @@ def log_ratios(target: dict[int, int], raw: dict[int, int]) -> list[float]:
 
 def fit(docs: DataFrame, labels: DataFrame) -> list[float]:
     """Ratios of the trusted texts (label quality 1, not held out) to all texts."""
-    trusted = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id"))).select("doc_id").distinct()
-    texts = docs.select("doc_id", "text")
-    return log_ratios(bucket_counts(texts.join(trusted, "doc_id", "left_semi")), bucket_counts(texts))
+    trusted = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id")))
+    return log_ratios(*bucket_counts(flagged(docs.select("doc_id", "text"), trusted)))
 
 
 def _total(hashes: str, table: Column) -> Column:
