@@ -30,12 +30,14 @@ def propagate(linked: DataFrame, shards: int, capacity: list[int], rounds: int =
     A hub links its documents. In each round it names the shard with most of its documents, or as
     many shards as it needs if it is larger than one; documents elsewhere ask to move there, and a
     shard admits as many as it has room for, by hash of hub, or of document for large hubs. Large hubs
-    go first, and small ones leave a shard that is above its count. What reaches the driver is counts
+    go first, and small ones leave a shard that is above its count or for which large ones wait. What reaches the driver is counts
     per shard and share of the hash space.
     """
     size = max(1, min(capacity))
     state = linked.withColumn("large", F.col("members") * 8 > size)
     state = cut(state.withColumn("shard", F.pmod(F.xxhash64("tie", F.lit(5)), F.lit(shards)).cast("int")))
+    # An eighth of slack, since documents choose among the named shards by hash.
+    needs = F.when(F.col("members") <= size, 1).otherwise(F.ceil(F.col("members") * 9 / (8 * size))).cast("int")
     full = [False] * shards
     for turn in range(rounds):
         open_ = [s for s in range(shards) if not full[s]] or list(range(shards))
@@ -45,7 +47,7 @@ def propagate(linked: DataFrame, shards: int, capacity: list[int], rounds: int =
                         F.xxhash64("hub", "shard").alias("h"), "shard")
         named = (
             votes.groupBy("hub", "members").agg(F.sort_array(F.collect_list(vote), asc=False).alias("ranked"))
-            .withColumn("named", F.slice("ranked", 1, F.ceil(F.col("members") / size).cast("int")).getField("shard"))
+            .withColumn("named", F.slice("ranked", 1, needs).getField("shard"))
             .withColumn("named", F.when(F.get("ranked", F.lit(0)).getField("fits"), F.col("named")).otherwise(
                 F.array(F.get(others, F.pmod(F.xxhash64("hub", F.lit(turn)), F.lit(len(open_))).cast("int")))))
             .select("hub", "named")
@@ -55,7 +57,7 @@ def propagate(linked: DataFrame, shards: int, capacity: list[int], rounds: int =
         share = F.pmod(F.xxhash64("hub", F.when(F.col("large"), F.col("tie"))), F.lit(SHARES)).cast("int")
         asked = cut(state.join(named, "hub").withColumns({"want": want, "share": share}).drop("named"))
         moves = asked.groupBy("large", "shard", "want", F.when(F.col("want") != F.col("shard"), F.col("share")).alias("share"))
-        room, last, asking = list(capacity), {}, False
+        room, last, demands = list(capacity), {}, {}
         found = moves.count().collect()
         for large in (True, False):
             demand: dict = {}
@@ -64,7 +66,7 @@ def propagate(linked: DataFrame, shards: int, capacity: list[int], rounds: int =
                     room[r["shard"]] -= r["count"]
                 else:
                     demand[r["want"], r["share"]] = demand.get((r["want"], r["share"]), 0) + r["count"]
-            asking |= bool(demand)
+            demands[large] = demand
             last[large] = _admitted(demand, room)
         admitted = {large: F.get(F.array(*map(F.lit, last[large])), F.col("want")) for large in last}
         enters = F.col("share") <= F.when(F.col("large"), admitted[True]).otherwise(admitted[False])
@@ -73,8 +75,10 @@ def propagate(linked: DataFrame, shards: int, capacity: list[int], rounds: int =
         for r in found:
             enters_now = r["share"] is not None and r["share"] <= last[r["large"]][r["want"]]
             load[r["want"] if enters_now else r["shard"]] += r["count"]
-        full = [n > c for n, c in zip(load, capacity)]
-        if not asking or (max(last[True] + last[False]) < 0 and not any(full)):
+        # Small hubs also leave where large ones still wait for room.
+        waits = {want for want, share in demands[True] if share > last[True][want]}
+        full = [n > c or s in waits for s, (n, c) in enumerate(zip(load, capacity))]
+        if not any(demands.values()) or (max(last[True] + last[False]) < 0 and not any(full)):
             break
     return state.drop("large")
 
