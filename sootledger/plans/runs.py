@@ -39,7 +39,7 @@ from sootledger.sources.references import (
     read_impacts,
     split_impacts,
 )
-from sootledger.sources.warehouse import as_of, read_deltas, read_log
+from sootledger.sources.warehouse import as_of, read_deltas, read_log, stored_deltas, stored_log
 
 LOG_PARTITIONS = ("ingest_date", "site_dir")
 
@@ -91,33 +91,40 @@ def build_distances(
 
 
 def load_trips(
-    spark: SparkSession, layout: Layout, raw: DataFrame, refs: References, load: str
+    spark: SparkSession, layout: Layout, raw: DataFrame, refs: References, load: str, days=None
 ) -> None:
     """Trips into the log. Distances that had to be computed are stored first.
 
+    ``days`` is a predicate on ingest_date of all days that ``raw`` covers: what the log holds of
+    them and ``raw`` does not is emptied.
+
     The stored table, not the plan that computed it, feeds the join: its size is
     known to Catalyst and a lost executor does not recompute it.
     """
     known = with_stored_distances(spark, layout, refs)
     append_distances(missing_distances(raw, known.distances, refs.coordinates), layout, load)
     known = with_stored_distances(spark, layout, refs)
-    write_days(
-        clean_trips(raw, known.distances, refs.bands), layout.log("mission"), LOG_PARTITIONS
-    )
+    trips = clean_trips(raw, known.distances, refs.bands)
+    write_days(trips, layout.log("mission"), LOG_PARTITIONS, _covered(spark, layout, "mission", days))
 
 
-def load_equipment(layout: Layout, raw: DataFrame, refs: References) -> None:
-    write_days(
-        clean_equipment(raw, refs.by_model, refs.by_type), layout.log("materiel"), LOG_PARTITIONS
-    )
+def load_equipment(layout: Layout, raw: DataFrame, refs: References, days=None) -> None:
+    """Equipment into the log; ``days`` as for trips."""
+    goods = clean_equipment(raw, refs.by_model, refs.by_type)
+    stale = _covered(raw.sparkSession, layout, "materiel", days)
+    write_days(goods, layout.log("materiel"), LOG_PARTITIONS, stale)
+
+
+def _covered(spark: SparkSession, layout: Layout, kind: str, days) -> DataFrame | None:
+    return None if days is None else stored_log(spark, layout, kind).filter(days)
 
 
 def write_deltas(spark: SparkSession, layout: Layout, kind: str, days) -> None:
     """Deltas of some days: new dimension keys and the day's facts.
 
-    ``days`` is a predicate on ingest_date. Days without rows write nothing. The
-    keys already known come from the deltas of the other days, so the partitions
-    that are read and those that are replaced do not overlap.
+    ``days`` is a predicate on ingest_date. Deltas stored for these days are replaced, by
+    nothing where a day has no new key or fact any more. The keys already known come from
+    the deltas of the other days.
     """
     some = read_log(spark, layout, kind).filter(days)
     fact, dim = f"FAIT_{kind.upper()}", f"DIM_{kind.upper()}"
@@ -125,8 +132,9 @@ def write_deltas(spark: SparkSession, layout: Layout, kind: str, days) -> None:
     fact_columns = schemas.names(schemas.WAREHOUSE[fact])
     known = read_deltas(spark, layout, dim).filter(~days)
     new = dim_delta_of(some, known, schemas.PRIMARY_KEY[dim], dim_columns)
-    write_days(new, layout.delta(dim))
-    write_days(fact_rows(some, fact_columns), layout.delta(fact))
+    for table, rows in ((dim, new), (fact, fact_rows(some, fact_columns))):
+        stale = stored_deltas(spark, layout, table).filter(days)
+        write_days(rows, layout.delta(table), stale=stale)
 
 
 def initialise(spark: SparkSession, layout: Layout, drops: str) -> int:
@@ -159,9 +167,9 @@ def run_range(
     """Load an inclusive range of days of all sites in one pass; running it again is harmless."""
     tune(spark)
     load = f"{start:%Y%m%d}-{end:%Y%m%d}"
-    load_trips(spark, layout, read_trip_drops(spark, drops, start, end), refs, load)
-    load_equipment(layout, read_equipment_drops(spark, drops, start, end), refs)
     days = F.col("ingest_date").between(F.lit(start), F.lit(end))
+    load_trips(spark, layout, read_trip_drops(spark, drops, start, end), refs, load, days)
+    load_equipment(layout, read_equipment_drops(spark, drops, start, end), refs, days)
     for kind in ("mission", "materiel"):
         write_deltas(spark, layout, kind, days)
     if labels:

@@ -51,13 +51,22 @@ class Layout:
         return f"{self.root}/distances"
 
 
-def write_days(df: DataFrame, path: str, partitions: tuple[str, ...] = ("ingest_date",)) -> None:
-    """Replace exactly the partitions present in the frame; the others stay.
-
+def write_days(
+    df: DataFrame,
+    path: str,
+    partitions: tuple[str, ...] = ("ingest_date",),
+    stale: DataFrame | None = None,
+) -> None:
+    """Replace exactly the partitions present in the frame or in ``stale``; the others stay.
+
+    ``stale`` names stored partitions that the load covers. Each gets a row of NULLs, which
+    readers drop, so one that brings no rows any more is emptied in the same commit.
     The rebalance hint groups rows by partition before the write, and adaptive
     execution splits a partition that holds too many of them, so there are
     neither thousands of small files nor one huge task.
     """
+    if stale is not None:
+        df = df.unionByName(stale.select(*partitions).distinct(), allowMissingColumns=True)
     (
         df.hint("rebalance", *partitions)
         .write.mode("overwrite")

@@ -61,10 +61,19 @@ def _read_path(spark: SparkSession, path: str, table: str, lineage: bool = False
     return or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema)
 
 
-def read_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+def present(stored: DataFrame) -> DataFrame:
+    """Rows of a log or delta, without the rows of NULLs that mark emptied partitions."""
+    return stored.filter(F.col("load_order").isNotNull())
+
+
+def stored_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return _read_path(spark, layout.delta(table), table, lineage=True)
 
 
+def read_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    return present(stored_deltas(spark, layout, table))
+
+
 def load_star(spark: SparkSession, layout: Layout, version: str = "latest") -> Star:
     """A label (``latest``, ``final``, ``init``) or one day, read as that day's delta.
 
@@ -116,7 +125,7 @@ def load_star_any(spark: SparkSession, layout: Layout) -> Star:
     return Star.of(tables)
 
 
-def read_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
+def stored_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
     dim, fact = f"DIM_{kind.upper()}", f"FAIT_{kind.upper()}"
     both = {f.name: f for f in [*schemas.WAREHOUSE[fact].fields, *schemas.WAREHOUSE[dim].fields]}
     schema = T.StructType(list(both.values())).add("load_order", "long")
@@ -124,6 +133,10 @@ def read_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
     return or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.log(kind)), schema)
 
 
+def read_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
+    return present(stored_log(spark, layout, kind))
+
+
 def as_of(spark: SparkSession, layout: Layout, day: dt.date) -> Star:
     """Full tables as they were at the end of a day."""
     tables = {"DIM_PERSONNEL": _personnel_of_init(spark, layout)}
