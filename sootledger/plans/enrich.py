@@ -98,8 +98,7 @@ def _same_place():
 def pair_distance(ellipsoid: bool = True):
     """Column of the distance between the two ends of a row that has LAT_1 … LON_2."""
     ends = [F.col(c) for c in ("LAT_1", "LON_1", "LAT_2", "LON_2")]
-    sphere = haversine_km(*ends)
-    km = F.coalesce(geodesic_km(*ends), sphere) if ellipsoid else sphere
+    km = geodesic_km(*ends) if ellipsoid else haversine_km(*ends)
     return F.when(_same_place(), F.lit(domain.SAME_CITY_KM)).otherwise(F.round(km, 2))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sootledger import functions as fn
 from sootledger.functions.dates import file_name_of
-from sootledger.functions.geo import inverse_geodesic
+from sootledger.functions.geo import WGS84_F, _opposite_km, inverse_geodesic
 from tests.conftest import rows
 
 
@@ -120,9 +120,21 @@ def test_geodesic_arrays_and_opposite_points():
     lat1, lon1 = np.array([0.0, 10.0, 48.0]), np.array([0.0, 20.0, 179.9])
     lat2, lon2 = np.array([0.5, 11.0, 48.0]), np.array([179.7, 21.0, -179.9])
     km = inverse_geodesic(lat1, lon1, lat2, lon2)
-    assert np.isnan(km[0])
+    assert km[0] == pytest.approx(19944.127421, abs=1e-4)
     assert km[2] == pytest.approx(14.9, abs=0.1)
     assert inverse_geodesic(10.0, 20.0, 11.0, 21.0) == pytest.approx(km[1])
+    # Exactly opposite points meet over a pole, and order and signs do not matter.
+    assert inverse_geodesic(0, 0, 0, 180) == pytest.approx(20003.931459, abs=1e-4)
+    assert inverse_geodesic(30, 10, -30, -170) == pytest.approx(20003.931459, abs=1e-4)
+    ends = [(0.3, 0.0, 0.0, 179.6), (0.0, 179.6, 0.3, 0.0), (-0.3, 0.0, 0.0, -179.6)]
+    assert len({round(float(inverse_geodesic(*e)), 6) for e in ends}) == 1
+
+
+@pytest.mark.parametrize("ends", [(-30.0, 0.0, 29.0, 178.0), (10.0, 5.0, -9.0, 181.0), (1.0, 0.0, 2.0, 90.0)])
+def test_bisection_agrees_with_iteration(ends):
+    lat1, lon1, lat2, lon2 = map(np.array, ends)
+    u1, u2 = (np.arctan((1 - WGS84_F) * np.tan(np.radians(x))) for x in (lat1, lat2))
+    assert _opposite_km(u1, u2, np.radians(lon2 - lon1)) == pytest.approx(inverse_geodesic(*ends), abs=1e-3)
 
 
 def test_distances_in_spark(spark):
@@ -132,5 +144,5 @@ def test_distances_in_spark(spark):
     got = df.select(fn.haversine_km(*ends), fn.geodesic_km(*ends)).collect()
     assert got[0][0] == pytest.approx(343.56, abs=0.05)
     assert got[0][1] == pytest.approx(343.92, abs=0.05)
-    assert got[1][0] > 19000 and got[1][1] is None
+    assert got[1][0] > 19000 and got[1][1] == pytest.approx(19944.13, abs=0.01)
     assert got[2][0] is None and got[2][1] is None
