@@ -100,7 +100,7 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
         "TRANSPORT": _named("o_orderstatus", F="'Avion'", O="'Train'"),
         "ALLER_RETOUR": "CASE WHEN o_orderkey % 2 = 0 THEN 'oui' ELSE 'non' END",
         "DISTANCE_KM": "CAST(100 * (o_orderkey % 60) AS DOUBLE)",
-        "CO2EQ": "CAST(NULL AS DOUBLE)",
+        "CO2EQ": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderkey % 7 AS DOUBLE) / 8 END",
         "IMPACT": "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END",
     }),
     "fait_materiel": ("lineitem", {

@@ -125,16 +125,22 @@ def _kpi(source: str) -> str:
     return f"""COALESCE(SUM("tCO2e") FILTER (source = '{source}'), 0)"""
 
 
+def _text(tonnes: str) -> str:
+    return f"format('{{:,.2f}}', CAST({tonnes} AS DOUBLE))"
+
+
 _SITE_SUMS = ", ".join(
     f"""ROUND(COALESCE(SUM("tCO2e") FILTER (ID_SITE = '{s}'), 0), 6) AS "{s}\"""" for s in SITES
 )
 
 PANELS = {
-    "panel_trips_wide": """SELECT * EXCLUDE ("tCO2e", CO2EQ), ROUND("tCO2e", 6) AS "tCO2e" FROM trips""",
+    "panel_trips_wide": """SELECT * EXCLUDE ("tCO2e"), ROUND("tCO2e", 6) AS "tCO2e" FROM trips""",
     "panel_equipment_wide":
         """SELECT * EXCLUDE ("tCO2e"), ROUND("tCO2e", 6) AS "tCO2e" FROM goods""",
     "panel_kpis": f"""SELECT ROUND({_kpi('mission')} + {_kpi('materiel')}, 6) AS total,
-        ROUND({_kpi('mission')}, 6) AS missions, ROUND({_kpi('materiel')}, 6) AS materiel
+        ROUND({_kpi('mission')}, 6) AS missions, ROUND({_kpi('materiel')}, 6) AS materiel,
+        {_text(f"{_kpi('mission')} + {_kpi('materiel')}")} AS total_texte,
+        {_text(_kpi('mission'))} AS missions_texte, {_text(_kpi('materiel'))} AS materiel_texte
         FROM both_kinds""",
     "panel_by_site": f"SELECT ID_SITE, {_SUM} FROM both_kinds GROUP BY 1",
     "panel_split": f"""SELECT 'Missions' AS source, ROUND(greatest({_kpi('mission')}, 0), 6) AS "tCO2e"
@@ -171,6 +177,7 @@ PANELS = {
     "panel_date_range": """SELECT MIN(d) AS date_min, MAX(d) AS date_max FROM (
         SELECT "DATE" AS d FROM trips UNION ALL SELECT "DATE" FROM goods)""",
 }
+PANELS["panel_top_trips_resent"] = PANELS["panel_top_trips"]
 
 # ── Enrichment ──
 
@@ -362,6 +369,11 @@ ENRICHMENT = {
     "missing_distances": _with(
         ("raw_trips", "coordinates", "known_distances"), _PAIRS, _COMPUTED, _KNOWN, _ADDED
     ) + "SELECT * FROM added",
+    "missing_distances_ellipsoid": _with(
+        ("raw_trips", "coordinates", "known_distances"), *_ELLIPSOID, _KNOWN
+    ) + f"""SELECT {_KEYS}, CASE WHEN same_place THEN 8.0::DOUBLE ELSE ROUND(km, 2) END AS "DISTANCE_KM"
+        FROM ellipsoid ANTI JOIN known USING ({_KEYS})
+        WHERE km IS NOT NULL""",
     "distance_reference": _with(("raw_trips", "coordinates"), _PAIRS)
     + f"SELECT p.*, {_distance(_haversine('a', 'b'))} FROM pairs p {_ENDS.format(how='INNER')}",
     "distance_reference_ellipsoid": _with(("raw_trips", "coordinates"), *_ELLIPSOID)

@@ -33,7 +33,7 @@ from sootledger.functions import (
 from sootledger.operators import aggregates, contract, filters, joins, ranking, sets
 from sootledger.plans import enrich, loading, panels, quality, questions
 from sootledger.sources.references import band_factors, clean_distances, split_impacts
-from sootledger.sources.warehouse import rebuild_from_days
+from sootledger.sources.warehouse import days_of, rebuild_from_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,7 +106,7 @@ def _emissions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @query
 def panel_trips_wide(spark, sf_dir):
     wide = _wide(spark, sf_dir)[0]
-    return rounded(wide.drop("CO2EQ"), "tCO2e")
+    return rounded(wide, "tCO2e")
 
 
 @query
@@ -116,8 +116,7 @@ def panel_equipment_wide(spark, sf_dir):
 
 @query
 def panel_kpis(spark, sf_dir):
-    df = panels.kpis(*_emissions(spark, sf_dir), PERIOD)
-    return rounded(df.select("total", "missions", "materiel"), "total", "missions", "materiel")
+    return rounded(panels.kpis(*_emissions(spark, sf_dir), PERIOD), "total", "missions", "materiel")
 
 
 @query
@@ -152,6 +151,17 @@ def panel_top_trips(spark, sf_dir):
     return rounded(panels.top_trips(_emissions(spark, sf_dir)[0]), "tCO2e")
 
 
+@query
+def panel_top_trips_resent(spark, sf_dir):
+    """Every trip is sent again with an earlier day and other emissions: what came first counts."""
+    trips = _emissions(spark, sf_dir)[0]
+    again = trips.withColumns({
+        "DATE": F.date_sub("DATE", 5), "tCO2e": F.col("tCO2e") * 3, "load_order": F.lit(2)
+    })
+    both = trips.withColumn("load_order", F.lit(1)).unionByName(again)
+    return rounded(panels.top_trips(both, order=["load_order"]), "tCO2e")
+
+
 @query
 def panel_equipment_by_type(spark, sf_dir):
     df = panels.equipment_by_type(_emissions(spark, sf_dir)[1], PERIOD)
@@ -182,7 +192,7 @@ def panel_by_sector(spark, sf_dir):
 @query
 def panel_sector_site_matrix(spark, sf_dir):
     people = frame(spark, sf_dir, "dim_personnel")
-    df = panels.sector_site_matrix(*_emissions(spark, sf_dir), people, PERIOD, sites=SITES)
+    df = panels.sector_site_matrix(*_emissions(spark, sf_dir), people, PERIOD)
     return rounded(df, *SITES)
 
 
@@ -274,6 +284,12 @@ def missing_distances(spark, sf_dir):
     return enrich.missing_distances(raw, _distances(spark, sf_dir), coordinates, ellipsoid=False)
 
 
+@query
+def missing_distances_ellipsoid(spark, sf_dir):
+    raw, coordinates = frame(spark, sf_dir, "raw_trips"), frame(spark, sf_dir, "coordinates")
+    return enrich.missing_distances(raw, _distances(spark, sf_dir), coordinates)
+
+
 @query
 def distance_reference(spark, sf_dir):
     raw, coordinates = frame(spark, sf_dir, "raw_trips"), frame(spark, sf_dir, "coordinates")
@@ -368,8 +384,7 @@ def rebuilt_from_days(spark, sf_dir):
 
 @query
 def days_with_data(spark, sf_dir):
-    days = frame(spark, sf_dir, "event_log").select("ingest_date").distinct()
-    return days.orderBy("ingest_date")
+    return days_of(frame(spark, sf_dir, "event_log"))
 
 
 # ── Generic operators ────────────────────────────────────────────────────────

@@ -29,6 +29,7 @@ from sootledger.operators.aggregates import (
 from sootledger.operators.filters import filter_equal, filter_period, only_positive
 from sootledger.operators.joins import outer_add, reconcile_site, star
 from sootledger.operators.ranking import (
+    first_per_key,
     order_by_list,
     order_rows,
     reindex_to_list,
@@ -174,15 +175,19 @@ def by_transport(trips: DataFrame, site: str | None = None, kind: str | None = N
 
 def top_trips(
     trips: DataFrame, n: int = 10, site: str | None = None, kind: str | None = None,
-    transport: str | None = None,
+    transport: str | None = None, order: Sequence[str] = ("DATE",),
 ) -> DataFrame:
-    """The n trips with the greatest emissions, one row per trip, with display texts."""
-    rows = only_positive(_chosen(trips, site, kind, transport), "tCO2e")
-    route = route_label("VILLE_DEPART", "VILLE_DESTINATION").alias("route")
-    # A trip sent twice has one dimension row, so its copies differ by day only:
-    # a hash aggregation finds the first one, no ranking of all trips is needed.
-    once = rows.groupBy("ID_MISSION", "tCO2e", route).agg(F.min("DATE").alias("DATE"))
-    best = top_n(once, "tCO2e", n, ["ID_MISSION"])
+    """The n trips with the greatest emissions, one row per trip, with display texts.
+
+    Of a trip sent more than once, the first row in the given order counts, whatever its
+    emissions: by day, or by the lineage (ingest_date, load_order) of frames that carry it.
+    """
+    rows = _chosen(trips, site, kind, transport).withColumn(
+        "route", route_label("VILLE_DEPART", "VILLE_DESTINATION")
+    )
+    columns = dict.fromkeys(["ID_MISSION", "route", "DATE", "tCO2e", *order])
+    once = first_per_key(rows.select(*columns), "ID_MISSION", [*order, "DATE", "tCO2e", "route"])
+    best = top_n(only_positive(once, "tCO2e"), "tCO2e", n, ["ID_MISSION"])
     return best.select(
         "ID_MISSION", "route", day_label("DATE").alias("jour"), "tCO2e",
         F.concat(thousands("tCO2e"), F.lit(" tCO2e")).alias("label"),

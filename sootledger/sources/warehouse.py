@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +57,9 @@ def _stored_schema(table: str, lineage: bool) -> T.StructType:
     return schema
 
 
-def _read_path(spark: SparkSession, path: str, table: str, lineage: bool = False) -> DataFrame:
-    schema = _stored_schema(table, lineage)
-    return or_empty(spark, lambda: spark.read.schema(schema).parquet(path), schema)
+def _read_published(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """A table that the manifest names; it is an error when it is gone."""
+    return spark.read.schema(_stored_schema(table, lineage=False)).parquet(path)
 
 
 def present(stored: DataFrame) -> DataFrame:
@@ -67,7 +68,9 @@ def present(stored: DataFrame) -> DataFrame:
 
 
 def stored_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
-    return _read_path(spark, layout.delta(table), table, lineage=True)
+    """Deltas of a table; none before its first load."""
+    schema = _stored_schema(table, lineage=True)
+    return or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.delta(table)), schema)
 
 
 def read_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
@@ -91,7 +94,7 @@ def load_star(spark: SparkSession, layout: Layout, version: str = "latest") -> S
         paths = label_paths(spark, layout, version)
         if not paths:
             raise FileNotFoundError(f"no version {version!r} below {layout.root}")
-        tables = {t: _read_path(spark, p, t) for t, p in paths.items()}
+        tables = {t: _read_published(spark, p, t) for t, p in paths.items()}
     if version != "latest" or "DIM_PERSONNEL" not in tables:
         tables["DIM_PERSONNEL"] = _personnel_of_init(spark, layout)
     return Star.of({t: tables.get(t, _empty(spark, t)) for t in schemas.WAREHOUSE})
@@ -99,7 +102,9 @@ def load_star(spark: SparkSession, layout: Layout, version: str = "latest") -> S
 
 def _personnel_of_init(spark: SparkSession, layout: Layout) -> DataFrame:
     path = label_paths(spark, layout, "init").get("DIM_PERSONNEL")
-    return _read_path(spark, path, "DIM_PERSONNEL") if path else _empty(spark, "DIM_PERSONNEL")
+    if path is None:
+        raise FileNotFoundError(f"no personnel below {layout.root}: run initialise first")
+    return _read_published(spark, path, "DIM_PERSONNEL")
 
 
 def rebuild_from_days(days: DataFrame, pk: str) -> DataFrame:
@@ -152,12 +157,15 @@ def as_of(spark: SparkSession, layout: Layout, day: dt.date) -> Star:
     return Star.of(tables)
 
 
+def days_of(*facts: DataFrame) -> DataFrame:
+    """Distinct days of some frames with ingest_date, ascending."""
+    each = [df.select("ingest_date").distinct() for df in facts]
+    return reduce(DataFrame.unionByName, each).distinct().orderBy("ingest_date")
+
+
 def days_available(spark: SparkSession, layout: Layout) -> DataFrame:
     """Days that brought rows, ascending: every such day has facts of one kind or the other."""
-    trips, goods = (
-        read_deltas(spark, layout, t).select("ingest_date") for t in ("FAIT_MISSION", "FAIT_MATERIEL")
-    )
-    return trips.unionByName(goods).distinct().orderBy("ingest_date")
+    return days_of(*(read_deltas(spark, layout, t) for t in ("FAIT_MISSION", "FAIT_MATERIEL")))
 
 
 def versions_available(spark: SparkSession, layout: Layout) -> DataFrame:

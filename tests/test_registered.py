@@ -10,7 +10,7 @@ from checks.oracles import ORACLES
 from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-PYTHON_PATHS = {"distance_reference_ellipsoid"}
+PYTHON_PATHS = {"distance_reference_ellipsoid", "missing_distances_ellipsoid"}
 
 
 @pytest.fixture(scope="module")
@@ -42,3 +42,5 @@ def test_plan(spark, name):
     assert "NestedLoopJoin" not in plan
     if name not in PYTHON_PATHS:
         assert "EvalPython" not in plan and "InPandas" not in plan
+    else:
+        assert plan.count("ArrowEvalPython") == 1
