@@ -130,8 +130,9 @@ def publish(
     paths = {}
     for table, label in (unchanged or {}).items():
         kept = label_paths(spark, layout, label).get(table)
-        if kept:
-            paths[table] = kept
+        if kept is None:
+            raise FileNotFoundError(f"no {table} published as {label!r} below {layout.root}")
+        paths[table] = kept
     for table, df in tables.items():
         if table not in paths:
             paths[table] = layout.snapshot(table, version)

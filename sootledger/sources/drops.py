@@ -136,6 +136,6 @@ def read_personnel_drops(
 def read_trip_places(spark: SparkSession, root: str) -> DataFrame:
     """The four place columns of every trip file; it is an error when there is none."""
     df = read_delimited(spark, root, ";", schemas.RAW_TRIP, TRIP_GLOB)
-    if not df.inputFiles():
+    if df.isEmpty():
         raise FileNotFoundError(f"no trip file below {root}")
     return df.select(*[strip(na_to_null(c)).alias(c) for c in domain.DISTANCE_KEYS])

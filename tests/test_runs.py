@@ -3,12 +3,13 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sootledger import schemas
 from sootledger.plans import panels, quality, questions, runs
 from sootledger.sinks import Layout, export_csv
-from sootledger.sinks.ledger import read_manifest
+from sootledger.sinks.ledger import MANIFEST, read_manifest
 from sootledger.sources import (
     as_of,
     days_available,
@@ -224,6 +225,21 @@ def test_rebuild_without_snapshot(spark, delivered, refs, tmp_path):
     assert load_metadata(spark, layout).first()["source"] == "daily_folders"
 
 
+def test_what_was_published_must_be_there(spark, delivered, refs, tmp_path):
+    layout = Layout(str(tmp_path / "broken"))
+    with pytest.raises(FileNotFoundError):  # no people yet
+        runs.run_range(spark, layout, delivered, refs, D1, D1)
+    runs.initialise(spark, layout, delivered)
+    runs.publish_snapshots(spark, layout)
+    paths = {r["table"]: r["path"] for r in read_manifest(spark, layout).where("label = 'latest'").collect()}
+    assert load_star(spark, layout).fait_mission.count() > 0
+    # A manifest row whose folder does not exist.
+    lost = [("latest", 99, t, p + "-lost") for t, p in paths.items()]
+    spark.createDataFrame(lost, MANIFEST).write.mode("append").json(layout.manifest)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        load_star(spark, layout)
+
+
 def test_full_distance_build(spark, delivered, refs, tmp_path):
     layout = Layout(str(tmp_path / "distances-only"))
     runs.build_distances(spark, layout, delivered, refs.coordinates)
