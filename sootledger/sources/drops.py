@@ -3,7 +3,8 @@
 Expected names, anywhere below the root:
 ``…_<SITE>_MISSION/MISSION_<yyyymmdd>.txt``,
 ``…_<SITE>_INFORMATIQUE/MATERIEL_INFORMATIQUE_<yyyymmdd>.txt`` and
-``PERSONNEL_<SITE>.txt``. A site or day without a file contributes no row.
+``PERSONNEL_<SITE>.txt``. A site or day without a file contributes no row, and files of
+sites that are not listed are not loaded.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ TRIP_GLOB = "MISSION_*.txt"
 EQUIPMENT_GLOB = "MATERIEL_INFORMATIQUE_*.txt"
 PERSONNEL_GLOB = "PERSONNEL_*.txt"
 
-_UNLISTED_SITE = 4095
 _ROWS_PER_SITE_BITS = 50
 
 
@@ -38,7 +38,7 @@ def site_dir_of(path: Column | str) -> Column:
 
 def load_order(site_dir: Column, position: Column, sites: Sequence[str]) -> Column:
     """One number that orders the rows of a day: site in list order, then file order."""
-    rank = F.coalesce(listed_rank("site_dir", sites), F.lit(_UNLISTED_SITE)).cast("long")
+    rank = listed_rank("site_dir", sites).cast("long")
     return F.shiftleft(rank, _ROWS_PER_SITE_BITS) + position
 
 
@@ -58,16 +58,16 @@ def with_lineage(
     start: dt.date | None = None,
     end: dt.date | None = None,
 ) -> DataFrame:
-    """Add ingest_date, site_dir and load_order; optionally keep only some days.
+    """Add ingest_date, site_dir and load_order; keep only files of the listed sites and of some days.
 
-    The day filter sits below the row numbering, so it prunes whole files.
+    These filters sit below the row numbering, so they prune whole files.
     """
     df = df.withColumn("ingest_date", day_of_file("_file"))
     if start:
         df = df.filter(F.col("ingest_date") >= F.lit(start))
     if end:
         df = df.filter(F.col("ingest_date") <= F.lit(end))
-    df = df.withColumn("site_dir", site_dir_of("_path"))
+    df = df.withColumn("site_dir", site_dir_of("_path")).filter(F.col("site_dir").isin(*sites))
     position = row_position(F.col("_start"))
     df = df.withColumn("load_order", load_order(F.col("site_dir"), position, sites))
     return df.drop("_path", "_file", "_start")

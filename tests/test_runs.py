@@ -97,6 +97,16 @@ def test_readers(spark, delivered):
     assert read_trip_places(spark, root).columns == ["VILLE_DEPART", "PAYS_DEPART", "VILLE_DESTINATION", "PAYS_DESTINATION"]
 
 
+def test_only_listed_sites_are_read(spark, drops):
+    drops.trips("PARIS", D1, [trip("m1", "P_Paris_1", D1)])
+    drops.trips("TOKYO", D1, [trip("m2", "P_Tokyo_1", D1)])
+    drops.people("TOKYO", ["P_Tokyo_1;Cadre;1980-01-01;2026-01-01"])
+    root = str(drops.root)
+    assert rows(read_trip_drops(spark, root), "ID_MISSION") == [("m1",)]
+    assert rows(read_trip_drops(spark, root, sites=("TOKYO",)), "ID_MISSION") == [("m2",)]
+    assert read_personnel_drops(spark, root).count() == 0
+
+
 def test_readers_without_files(spark, tmp_path):
     root = str(tmp_path)
     assert read_trip_drops(spark, root).count() == 0
