@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sootledger.llm.shared import documents, held_out, words
+from sootledger.llm.shared import cut, documents, held_out, words
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 14  # at least; beyond, the buckets follow the corpus
+LOAD = 64  # n-grams a bucket, at most
+PRIOR = 16
+PAGE = 1024  # buckets a row of the table
+PACKED = 1 << 25  # buckets of a table that is broadcast: 128 MB
+UNIT = float(1 << 20)
 BLOCKS = 1 << 14  # bitmaps of ids, 4 KB each
 RUN = 8
 LEAST_WORDS = 20
@@ -82,36 +88,104 @@ def bucket_counts(docs: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
 def log_ratios(target: dict[int, int], raw: dict[int, int]) -> list[float]:
     """log of target over raw probability of each bucket.
 
-    Raw counts are one more than counted; the target starts from as many counts as there are buckets,
-    dealt out like the raw ones, so a small target says little and none says nothing.
+    Both counts are raised by PRIOR n-grams, of which the target has its share of all n-grams: a
+    bucket that was seen seldom says little, whatever the size of the corpus, and no target says nothing.
     """
-    most_raw, most_target = sum(raw.values()) + BUCKETS, sum(target.values())
-    out = []
-    for b in range(BUCKETS):
-        p = (raw.get(b, 0) + 1) / most_raw
-        out.append(log((target.get(b, 0) + BUCKETS * p) / (most_target + BUCKETS)) - log(p))
-    return out
+    share = sum(target.values()) / max(sum(raw.values()), 1)
+    if share == 0:
+        return [0.0] * BUCKETS
+    return [log((target.get(b, 0) + PRIOR * share) / ((raw.get(b, 0) + PRIOR) * share)) for b in range(BUCKETS)]
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> list[float]:
+@dataclass
+class Table:
+    """Log ratios of more than BUCKETS buckets: rows (page, ratios), each PAGE ratios in units of 1 / UNIT."""
+
+    pages: DataFrame
+    buckets: int
+
+    def sums(self, docs: DataFrame) -> DataFrame:
+        """Rows (_id, _sum) of rows (_id, text) that have n-grams: the sum of their log ratios.
+
+        Up to PACKED buckets the table is broadcast and only sums move; beyond, n-grams and pages meet
+        in a shuffle. Sums of integers do not depend on the order.
+        """
+        placed = placed_grams(docs, self.buckets).select("_id", page_of("bucket"), place_of("bucket"))
+        pages = F.broadcast(self.pages) if self.buckets <= PACKED else self.pages
+        met = placed.join(pages, "page").select("_id", F.get("ratios", F.col("place")).cast("long").alias("r"))
+        return met.groupBy("_id").agg((F.sum("r") / UNIT).alias("_sum"))
+
+
+def page_of(bucket: str) -> Column:
+    return F.shiftright(bucket, 10).alias("page")
+
+
+def place_of(bucket: str) -> Column:
+    return F.col(bucket).bitwiseAND(F.lit(PAGE - 1)).cast("int").alias("place")
+
+
+def placed_grams(docs: DataFrame, buckets: int) -> DataFrame:
+    """One row for each word and pair of neighbouring words: all columns but the text, and `bucket`."""
+    kept = [c for c in docs.columns if c != "text"]
+    one = docs.select(*kept, words(F.col("text")).alias("_words"))
+    one = one.select(*kept, F.transform("_words", hashed).alias("_one"))
+    grams = one.select(*kept, F.explode(F.concat("_one", neighbours("_one", 1))).alias("_gram"))
+    return grams.select(*kept, F.pmod("_gram", F.lit(buckets).cast("long")).alias("bucket"))
+
+
+def table_of(marked: DataFrame, total: int, share: float) -> Table:
+    """The same ratios as log_ratios, counted and kept as a table, with a bucket for each LOAD n-grams."""
+    buckets = -(-total // LOAD)
+    counts = placed_grams(marked.select("trusted", "text"), buckets).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("trusted").alias("t")
+    )
+    ratio = F.log((F.col("t") + PRIOR * share) / ((F.col("n") + PRIOR) * share)) if share else F.lit(0.0)
+    entry = F.struct(place_of("bucket"), F.round(ratio * UNIT).cast("int").alias("ratio"))
+    pages = counts.groupBy(page_of("bucket")).agg(F.collect_list(entry).alias("seen"))
+    unseen = F.array_except(F.sequence(F.lit(0), F.lit(PAGE - 1)), F.col("seen.place"))
+    filled = F.concat("seen", F.transform(unseen, lambda i: F.struct(i.alias("place"), F.lit(0).alias("ratio"))))
+    return Table(cut(pages.select("page", F.sort_array(filled).getField("ratio").alias("ratios"))), buckets)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> list[float] | Table:
     """Ratios of the trusted texts (label quality 1, not held out) to all texts."""
     trusted = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id")))
-    return log_ratios(*bucket_counts(flagged(docs.select("doc_id", "text"), trusted)))
+    marked = flagged(docs.select("doc_id", "text"), trusted)
+    n = F.greatest(2 * F.size(words(F.col("text"))).cast("long") - 1, F.lit(0).cast("long"))
+    total, target = marked.agg(F.sum(n), F.sum(F.when(F.col("trusted"), n))).first()
+    if (total or 0) <= LOAD * BUCKETS:
+        return log_ratios(*bucket_counts(marked))
+    return table_of(marked, total, (target or 0) / total)
 
 
 def _total(hashes: str, table: Column) -> Column:
     return F.aggregate(hashes, F.lit(0.0), lambda total, h: total + F.get(table, bucket(h)))
 
 
-def rated(docs: DataFrame, ratios: list[float], least: float = LEAST_RATIO) -> DataFrame:
+def rated(docs: DataFrame, ratios: list[float] | Table, least: float = LEAST_RATIO) -> DataFrame:
     """Add counts, base_failed, ratio and kept.
 
     n_repeat_words are the words that windows of eight words cover which occur twice or more in the text.
     ratio is the mean log ratio over the text's n-grams; a text with none has 0. NULL counts as
     empty, and an empty text fails the base rules. Repeated rows are rated alike.
     """
-    text = F.coalesce("text", F.lit(""))
+    if isinstance(ratios, Table):
+        return _rated_by_table(docs.withColumn("_id", F.monotonically_increasing_id()), ratios, least).drop("_id")
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
+    return _rated(docs, table, least)
+
+
+def _rated_by_table(docs: DataFrame, ratios: Table, least: float) -> DataFrame:
+    """The same for rows numbered by `_id`: the numbers join them with their sums, texts stay."""
+    based = _rated(docs, None, least)
+    met = based.join(ratios.sums(docs.select("_id", "text")), "_id", "left")
+    ratio = F.coalesce("_sum", F.lit(0.0)) / F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+    judged = met.withColumn("ratio", ratio).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
+    return judged.select(*based.columns)
+
+
+def _rated(docs: DataFrame, table: Column | None, least: float) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     one = docs.select("*", words(F.col("text")).alias("_words"), lines.alias("_lines"))
     # Hashes of single words, then of two, four and eight words in a row, each from two of the last kind.
@@ -125,10 +199,8 @@ def rated(docs: DataFrame, ratios: list[float], least: float = LEAST_RATIO) -> D
     )
     kept_columns = [c for c in ones.columns if c != "_one"]
     twos = ones.select("*", neighbours("_one", 1).alias("_two"))
-    fours = twos.select(
-        *kept_columns, neighbours("_two", 2).alias("_four"),
-        (_total("_one", table) + _total("_two", table)).alias("_sum"),
-    )
+    total = F.lit(0.0) if table is None else _total("_one", table) + _total("_two", table)
+    fours = twos.select(*kept_columns, neighbours("_two", 2).alias("_four"), total.alias("_sum"))
     # A window of eight words that occurs twice has halves that do.
     repeats = F.size(F.array_distinct("_four")) < F.size("_four")
     two = fours.select(*kept_columns, "_sum", F.when(repeats, neighbours("_four", 4)).alias("_windows"))
@@ -164,10 +236,20 @@ def rated(docs: DataFrame, ratios: list[float], least: float = LEAST_RATIO) -> D
     )
 
 
-def kept(docs: DataFrame, ratios: list[float]) -> DataFrame:
-    """The documents that pass, all columns as they were."""
+def kept(docs: DataFrame, ratios: list[float] | Table) -> DataFrame:
+    """The documents that pass, all columns as they were.
+
+    With a table, rows are numbered where they are read, once to rate them and once to pick them:
+    give rows that are read in one order, such as files.
+    """
     columns = docs.columns
-    judged = rated(docs.select(F.col("text"), F.struct(*columns).alias("_row")), ratios).where("kept")
+    if isinstance(ratios, Table):
+        rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.struct(*columns).alias("_row"))
+        numbered = rows.select(F.col("doc_id").alias("_id"), "text")
+        ids = cut(_rated_by_table(numbered, ratios, LEAST_RATIO).where("kept").select(F.col("_id").alias("doc_id")))
+        judged = flagged(rows.select("doc_id", "_row"), ids).where("trusted")
+    else:
+        judged = rated(docs.select(F.col("text"), F.struct(*columns).alias("_row")), ratios).where("kept")
     return judged.select(*(F.col("_row").getField(c).alias(c) for c in columns))
 
 

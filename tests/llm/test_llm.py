@@ -156,6 +156,46 @@ def test_ratio_equals_slow_sum(spark, docs):
         assert r["ratio"] == pytest.approx(sum(want[b] for b in g) / max(len(g), 1), abs=1e-9)
 
 
+def test_table_of_ratios_equals_slow_sum(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    monkeypatch.setattr(rules, "BUCKETS", 1 << 10)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = rules.fit(docs, labels)
+    assert isinstance(model, rules.Table)
+    trusted = {r[0] for r in labels.where("quality = 1").collect() if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    grams = defaultdict(list)
+    for r in rules.placed_grams(docs.select("doc_id", "text"), model.buckets).collect():
+        grams[r["doc_id"]].append(r["bucket"])
+    total = sum(map(len, grams.values()))
+    assert model.buckets == -(-total // rules.LOAD)
+    raw = Counter(b for g in grams.values() for b in g)
+    target = Counter(b for i, g in grams.items() if i in trusted for b in g)
+    monkeypatch.setattr(rules, "BUCKETS", model.buckets)
+    want = rules.log_ratios(target, raw)
+    packed = rules.rated(docs, model).collect()
+    for r in packed:
+        g = grams[r["doc_id"]]
+        assert r["ratio"] == pytest.approx(sum(want[b] for b in g) / max(len(g), 1), abs=1e-6)
+    monkeypatch.setattr(rules, "PACKED", 0)  # meets in a shuffle
+    shuffled = rules.rated(docs, model).collect()
+    assert sorted(shuffled, key=lambda r: r["doc_id"]) == sorted(packed, key=lambda r: r["doc_id"])
+    passed = sorted(r["doc_id"] for r in packed if r["kept"])
+    assert sorted(r["doc_id"] for r in rules.kept(docs, model).collect()) == passed
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_held_out_verdicts_do_not_loosen_with_size(spark, size):
+    docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet")
+    seen = rules.rated(docs.select("doc_id", "text"), rules.fit(docs, labels)).drop("text")
+    rows = seen.join(labels, "doc_id").where(shared.held_out(F.col("doc_id")) & ~F.col("base_failed")).collect()
+    junk = [r for r in rows if r["quality"] == 0 and r["n_symbols"] > 0.05 * r["n_words"]]
+    good = [r for r in rows if r["quality"] == 1]
+    assert junk and not any(r["kept"] for r in junk)
+    assert np.mean([r["kept"] for r in good]) > 0.5
+    assert np.mean([r["ratio"] for r in junk]) < -0.8 and np.mean([r["ratio"] for r in good]) > -0.1
+
+
 def test_trusted_flags(spark):
     docs = spark.createDataFrame([(i, "x") for i in (None, -70000, -1, 0, 1, 32767, 32768, 32769, 10**12, 10**12)], "doc_id long, text string")
     ids = spark.createDataFrame([(i,) for i in (None, -70000, 0, 32768, 32768, 10**12, 5)], "doc_id long")
