@@ -121,7 +121,9 @@ def signatures(texts: list[bytes], kept: int = KEPT) -> list[np.ndarray]:
             if level == 0 and counts[i] > 1:  # phrases of a few characters are common to most texts
                 continue
             if len(own) > 4 * kept:
-                own = np.partition(own, 4 * kept)[: 4 * kept]
+                least = np.unique(np.partition(own, 4 * kept)[: 4 * kept])
+                # Names that repeat very often may fill that part: then all of the level are looked at.
+                own = least if len(least) >= kept else np.unique(own)[:kept]
             found[i].append(own)
         more = counts[owner] > 1
         names, owner = names[more], owner[more]

@@ -437,6 +437,25 @@ def test_parsing_does_not_depend_on_offset_or_company():
     assert parsing.likeness(together[0], together[3]) > 0.3
 
 
+def test_parsing_keeps_the_smallest_names_of_repeats():
+    def smallest(text):
+        """All names of all levels above the first, then the smallest."""
+        names, seen = np.frombuffer(text, dtype=np.uint8), set()
+        for level in range(parsing.LEVELS):
+            names, _ = parsing._level(names, np.zeros(len(names), dtype=np.int32))
+            if level > 0 or len(names) == 1:
+                seen.update(int(x) >> 32 for x in parsing.mix(names ^ np.uint64(level + 1)))
+            if len(names) == 1:
+                break
+        return sorted(seen)[: parsing.KEPT]
+
+    rng = np.random.default_rng(4)
+    line = bytes(rng.integers(97, 123, 2000).astype(np.uint8)) + b"\n"
+    for text in (line * 1000, line * 3 + b"other line\n" * 5000, line):
+        assert parsing.signatures([text])[0].tolist() == smallest(text)
+    assert len(parsing.signatures([line * 1000])[0]) == parsing.KEPT
+
+
 def test_pipeline(spark, pairs, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     model = language.fit(docs)
