@@ -21,8 +21,8 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates."""
-    return simhash.keep_one(docs)
+    """One document of each component of near duplicates: five-word shingles similar from 0.8, or near fingerprints."""
+    return simhash.keep_one(docs, similar=0.8)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ from sootledger.llm.shared import components, cut, documents
 
 BITS = 64
 TILE = 512
+BANDS, DEPTH = 20, 5  # a pair of similarity 0.8 shares a band in all but 4 of 10,000 cases
 
 
 def fingerprint(text: bytes | None, size: int = 4) -> int:
@@ -141,17 +142,125 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, distance: int = 4) -> DataFrame:
+def shingles(text: bytes | None, size: int = 5) -> np.ndarray:
+    """Hashes of the distinct shingles of `size` words, sorted; a shorter text is one shingle, an empty one has none."""
+    found = (text or b"").lower().split()
+    if not found:
+        return np.zeros(0, np.uint64)
+    pieces = [b" ".join(found)] if len(found) < size else map(b" ".join, zip(*(found[i:] for i in range(size))))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, pieces, repeat(42)), dtype="<u8"))
+
+
+def bands(hashes: np.ndarray) -> np.ndarray:
+    """One key per band: a hash of the DEPTH smallest values of the set under hash functions of its own."""
+    draws = np.random.default_rng(11).integers(1, 1 << 63, (2, BANDS * DEPTH), dtype=np.uint64)
+    least = np.full(BANDS * DEPTH, np.iinfo(np.uint64).max)
+    for i in range(0, len(hashes), 4096):
+        x = hashes[i : i + 4096, None] ^ draws[0]
+        x = (x ^ (x >> np.uint64(31))) * (draws[1] | np.uint64(1))
+        least = np.minimum(least, (x ^ (x >> np.uint64(29))).min(axis=0))
+    rows = least.reshape(BANDS, DEPTH)
+    return np.array([xxhash.xxh64_intdigest(r.tobytes(), 42) for r in rows], dtype=np.uint64)
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sorted sets have at least the given share of common members."""
+    if min(len(a), len(b)) < least * max(len(a), len(b)):
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= least * (len(a) + len(b) - common)
+
+
+def similar_links(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
+    """Links (a, b) between the fingerprints `fp` of texts whose sets of shingles are similar from `least`.
+
+    Rows (fp, text). Texts with one set are one: its fingerprints form a star. Other sets that share a band
+    are compared exactly, keys with many members by tiles, and only a spanning forest of each pair of tiles leaves.
+    """
+
+    def each(batches):
+        for batch in batches:
+            sets = [shingles(t.as_py(), size) for t in batch.column("text").cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("fp"),
+                pa.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in sets], pa.uint64()).view(pa.int64()),
+                pa.array([bands(x).view(np.int64) if len(x) else [] for x in sets], pa.list_(pa.int64())),
+                pa.array([x.tobytes() for x in sets], pa.binary()),
+            ], names=["fp", "sid", "bands", "members"])
+
+    found = cut(docs.select("fp", "text").mapInArrow(each, "fp long, sid long, bands array<long>, members binary"))
+    sets = cut(found.groupBy("sid").agg(F.min("fp").alias("fp")))
+    same = found.select("sid", F.col("fp").alias("a")).distinct().join(sets.withColumnRenamed("fp", "b"), "sid").where("a != b")
+    keys = found.select("sid", "bands").dropDuplicates(["sid"])
+    keyed = keys.select("sid", F.posexplode("bands").alias("choice", "key"))
+    shared = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = keyed.join(shared, ["choice", "key"]).withColumn("tiles", F.ceil(F.col("n") / TILE))
+    met = met.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("tiles")))
+    tiles = met.select(
+        "sid", "choice", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
+    ).select("sid", "choice", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    # Sets move only to the keys they share with others.
+    members = found.select("sid", "members").dropDuplicates(["sid"]).join(sets, "sid")
+    group = ["choice", "key", "i", "j"]
+
+    def verify(batches):
+        held, at = [], None
+
+        def done():
+            root, out = list(range(len(held))), []
+
+            def find(k):
+                while root[k] != k:
+                    root[k] = root[root[k]]
+                    k = root[k]
+                return k
+
+            for k, (own, fp, x) in enumerate(held):
+                for m in range(k):
+                    if at[2] != at[3] and own == held[m][0]:
+                        continue
+                    one, two = find(k), find(m)
+                    if one != two and alike(x, held[m][2], least):
+                        root[max(one, two)] = min(one, two)
+                        out.append({"a": fp, "b": held[m][1]})
+            return out
+
+        for batch in batches:
+            links_found = []
+            for r in zip(*(batch.column(c).to_pylist() for c in (*group, "own", "fp", "members"))):
+                if r[:4] != at:
+                    links_found += done()
+                    held, at = [], r[:4]
+                held.append((r[4], r[5], np.frombuffer(r[6], dtype=np.uint64)))
+            if links_found:
+                yield pa.RecordBatch.from_pylist(links_found)
+        if held and (last := done()):
+            yield pa.RecordBatch.from_pylist(last)
+
+    near = tiles.join(members, "sid").repartition(*group).sortWithinPartitions(*group).mapInArrow(verify, "a long, b long")
+    return same.select("a", "b").unionByName(near).where("a != b").distinct()
+
+
+def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = 4, distance: int = 4,
+                    similar: float | None = None) -> DataFrame:
     """One row per document: every column but the text, `fp`, and `component_id`.
 
     The component holds all documents reachable over fingerprints that differ in at most
-    `distance` bits, named by its smallest id. NULL and empty texts have fingerprint zero and are
+    `distance` bits, or with `similar` over texts whose sets of five-word shingles are that similar; it is
+    named by its smallest id. NULL and empty texts have fingerprint zero and are
     linked like any other. Documents with a NULL id are linked too; a component of such
     documents only has a NULL name. Repeated rows stay, each with its own row.
     """
-    marked = cut(fingerprints(docs, text, size))
+    if similar is None:
+        marked = cut(fingerprints(docs, text, size))
+    else:
+        whole = fingerprints(docs.withColumn("_text", F.col(text)), text, size).withColumnRenamed("_text", "text")
+        marked = cut(whole.drop("text"))
     fps = cut(marked.groupBy("fp").agg(F.min(id).alias("_least")))
-    roots = components(links(fps.select("fp"), distance)).withColumnRenamed("node", "fp")
+    near = links(fps.select("fp"), distance)
+    if similar is not None:
+        near = near.unionByName(similar_links(whole.select("fp", "text"), similar))
+    roots = components(near).withColumnRenamed("node", "fp")
     named = fps.join(roots, "fp", "left").withColumn("_root", F.coalesce("root", "fp"))
     names = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
     classes = cut(named.select("fp", "_root").join(names, "_root").select("fp", "component_id"))
@@ -162,14 +271,14 @@ def as_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, size: int = 4, distance: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 4, distance: int = 4, similar: float | None = None) -> DataFrame:
     """The documents without near duplicates: of each component, the one with the smallest id stays.
 
     Where several rows have that id, the one with the smallest hash of all columns stays, once.
     """
     columns = docs.columns
     rows = docs.withColumn("_row", F.xxhash64(*columns))
-    classes = near_duplicates(rows.select("doc_id", "text", "_row"), size=size, distance=distance)
+    classes = near_duplicates(rows.select("doc_id", "text", "_row"), size=size, distance=distance, similar=similar)
     kept = (
         classes.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_nameless"))
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("k"))

@@ -123,6 +123,28 @@ def test_simhash_on_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
+@pytest.mark.parametrize("tile", [simhash.TILE, 3])
+def test_stage_finds_planted_copies(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rng = np.random.default_rng(5)
+    texts, near = [], 0
+    for k in range(60):
+        own = [f"w{x}" for x in rng.integers(0, 50_000, 400)]
+        copy = list(own)
+        for at in np.linspace(10, 390, 2 + k % 8).astype(int):  # each change costs five shingles
+            copy[at] = "changed"
+        texts += [" ".join(own), " ".join(copy)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    sets = [set(simhash.shingles(t.encode()).tolist()) for t in texts]
+    assert all(0.79 < len(a & b) / len(a | b) < 0.96 for a, b in zip(sets[::2], sets[1::2]))
+    want = {i for i in range(len(texts)) if i % 2 == 0 or len(sets[i] & sets[i - 1]) < 0.8 * len(sets[i] | sets[i - 1])}
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in corpus_pipeline.without_near_duplicates(spark, frame, SF).collect()}
+    assert kept == want
+    before = {r["doc_id"] for r in simhash.keep_one(frame).collect()}
+    assert len(before) > len(kept) + 20
+
+
 def test_base_rules(spark, docs, odd, empty):
     ratios = rules.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
