@@ -1,6 +1,7 @@
 """Registered queries of this subpackage and their SQL."""
 
 import corpus_pipeline
+from sootledger.llm.exact import OP12_SQL, op12_exact
 from sootledger.llm.language import op7_language
 from sootledger.llm.mixing import op3_mixing
 from sootledger.llm.packing import op8_packing
@@ -11,6 +12,7 @@ from sootledger.llm.sharding import op6_sharding
 from sootledger.llm.simhash import op5_simhash
 from sootledger.llm.tokenfile import op9_tokenfile
 from sootledger.llm.urls import OP4_SQL, op4_urls
+from sootledger.llm.whitening import op11_whitening
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -23,6 +25,8 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_tokenfile": op9_tokenfile,
     "op10_parsing": op10_parsing,
+    "op11_whitening": op11_whitening,
+    "op12_exact": op12_exact,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op4_urls": OP4_SQL}
+ORACLES = {"op4_urls": OP4_SQL, "op12_exact": OP12_SQL}
