@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sootledger.files import or_empty
 from sootledger.llm.rules import flagged
-from sootledger.llm.shared import shared_folder, written
+from sootledger.llm.shared import cut, shared_folder, written
 
 # State on the executors' disks, bounded memory, uploads of changes only. No watermark: state never expires.
 STATE = {
@@ -17,8 +17,11 @@ STATE = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Without it each partition of the state holds 4 MB of disk in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
-MAP_BITS = 29  # of the bitmap that tells which rows may have a copy: 64 MB at most
+# The bitmap that tells which rows may have a copy: so many slots for each repeated digest, 2^29 (64 MB) at most.
+SLOTS, MAP_BITS = 64, 29
 
 
 def content(text: Column) -> Column:
@@ -88,7 +91,7 @@ def repeated(spark: SparkSession, folder: str, id_type: str) -> DataFrame:
     empty = spark.createDataFrame([], schema)
     groups = or_empty(spark, lambda: spark.read.schema(schema).parquet(f"{folder}/groups"), empty.schema)
     last = groups.where("n > 1").groupBy("digest").agg(F.max(F.struct("n", "keep")).alias("last"))
-    return last.select("digest", "last.keep", "last.n")
+    return cut(last.select("digest", "last.keep", "last.n"))
 
 
 def resolved(
@@ -102,13 +105,14 @@ def resolved(
     """What became of each row of the files taken in: (at, keep, n, sha).
 
     A row whose digest no other row has stays where it is read: a bitmap of the repeated digests, broadcast in a
-    fixed size, tells it from the others. All others, the hits, meet the content of the row that stays,
+    bounded size, tells it from the others. All others, the hits, meet the content of the row that stays,
     fetched by its place, and are compared byte by byte. Digests under which contents differ are grouped anew
     by the contents themselves. A hot group is split by adaptive execution: nothing is aggregated beside the texts.
     """
     rows = _located(spark.read.parquet(source), key, text, digest)
     more = repeated(spark, folder, rows.schema["at"].dataType["doc_id"].dataType.simpleString())
-    slot = F.pmod(F.xxhash64("digest"), F.lit(1 << MAP_BITS)).alias("doc_id")
+    bits = min(MAP_BITS, (SLOTS * more.count()).bit_length())
+    slot = F.pmod(F.xxhash64("digest"), F.lit(1 << bits)).alias("doc_id")
     marked = flagged(rows.select("*", slot), more.select(slot)).drop("doc_id")
     sha = F.sha2("text", 256).alias("sha")
     hits = marked.where("trusted").drop("trusted")
