@@ -19,8 +19,8 @@ LEAST_COUNT = 30
 CONTAINED = 80  # per cent of a phrase's occurrences that lie within a longer one
 BEST = 2000
 UNIT = 2_000_000
-SHARD = 12_000_000  # bytes of text that one automaton counts
-RANGE = 8_000_000  # bytes of text for each range of the union
+SHARD = 8_000_000  # bytes of text that one automaton counts
+RANGE = 5_000_000  # bytes of text for each range of the union
 DRAWN, STRIDE = 16_000, 32  # bytes of text drawn for each range, and every how many words one is taken
 
 # A-Z are lower-cased, these end a piece, tabs count as spaces.
@@ -54,7 +54,7 @@ class Automaton:
     def of(cls, words: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None) -> Automaton:
         """From paths in any order: equal ones become one, whose weight is their sum. `words` are distinct, in any order."""
         order = pc.sort_indices(words).to_numpy()
-        rank = np.zeros(len(order) + 1, dtype=np.int64)
+        rank = np.zeros(len(order) + 1, dtype=np.int32)
         rank[order + 1] = np.arange(1, len(order) + 1)
         labels = rank[labels]
         bits = len(order).bit_length()
@@ -63,13 +63,16 @@ class Automaton:
             for c in range(MOST_WORDS):
                 key = key << np.uint64(bits) | labels[:, c].astype(np.uint64)
             by = np.argsort(key, kind="stable")
-            new = np.ones(len(by), dtype=bool)
-            new[1:] = key[by][1:] != key[by][:-1]
+            del key
         else:
             high, low = _keys(labels)
             by = np.lexsort((low, high))
-            new = np.ones(len(by), dtype=bool)
-            new[1:] = (high[by][1:] != high[by][:-1]) | (low[by][1:] != low[by][:-1])
+            del high, low
+        new = np.zeros(len(by), dtype=bool)
+        new[:1] = True
+        for c in range(MOST_WORDS):
+            column = labels[by, c]
+            new[1:] |= column[1:] != column[:-1]
         starts = np.flatnonzero(new)
         if weights is None:
             sums = np.diff(np.append(starts, len(by)))
@@ -91,9 +94,9 @@ class Automaton:
         found = pa.Array.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[~apart].tobytes())]
         ).dictionary_encode()
-        piece = np.cumsum(end)[starts] if len(starts) else starts
-        labels = np.zeros((len(starts), MOST_WORDS), dtype=np.int64)
-        own = found.indices.to_numpy().astype(np.int64) + 1
+        piece = np.cumsum(end, dtype=np.int32)[starts] if len(starts) else starts
+        labels = np.zeros((len(starts), MOST_WORDS), dtype=np.int32)
+        own = found.indices.to_numpy() + np.int32(1)
         for k in range(min(MOST_WORDS, len(own))):
             labels[: len(own) - k, k] = np.where(piece[: len(own) - k] == piece[k:], own[k:], 0)
         return cls.of(found.dictionary, labels)
@@ -116,7 +119,7 @@ class Automaton:
         used = np.unique(arcs)
         used = used[used > 0]
         return Automaton(
-            [self.words[i - 1] for i in used], np.where(arcs > 0, np.searchsorted(used, arcs) + 1, 0), self.weights[begin:end]
+            [self.words[i - 1] for i in used], np.where(arcs > 0, np.searchsorted(used, arcs) + 1, 0).astype(np.int32), self.weights[begin:end]
         )
 
     def pack(self) -> bytes:
@@ -145,7 +148,7 @@ class Automaton:
         shared, depth = np.divmod(np.frombuffer(shape, dtype=np.uint8).astype(np.int64), MOST_WORDS + 1)
         column = np.arange(MOST_WORDS)
         fresh = (column >= shared[:, None]) & (column < depth[:, None])
-        arcs = np.zeros(fresh.shape, dtype=np.int64)
+        arcs = np.zeros(fresh.shape, dtype=np.int32)
         arcs[fresh] = np.frombuffer(added, dtype="<u4")
         for k in range(MOST_WORDS):  # a label that is not written is that of the last row that writes one
             last = np.maximum.accumulate(np.where(fresh[:, k], np.arange(len(arcs)), 0))
@@ -156,13 +159,14 @@ class Automaton:
     def union(cls, parts: list[Automaton]) -> Automaton:
         """All paths of some automata; the weights of equal paths are summed."""
         every = pa.array([w for p in parts for w in p.words], pa.large_binary()).dictionary_encode()
-        place = every.indices.to_numpy().astype(np.int64) + 1
+        place = every.indices.to_numpy() + np.int32(1)
         labels, at = [], 0
         for p in parts:
-            own = np.concatenate([[0], place[at : at + len(p.words)]])
+            own = np.zeros(len(p.words) + 1, dtype=np.int32)
+            own[1:] = place[at : at + len(p.words)]
             labels.append(own[p.arcs])
             at += len(p.words)
-        empty = np.zeros((0, MOST_WORDS), dtype=np.int64)
+        empty = np.zeros((0, MOST_WORDS), dtype=np.int32)
         weights = np.concatenate([np.zeros(0, dtype=np.int64), *(p.weights for p in parts)])
         return cls.of(every.dictionary, np.concatenate([empty, *labels]), weights)
 
@@ -205,7 +209,7 @@ class Automaton:
 def of_phrases(phrases: list[bytes], weights: list[int]) -> Automaton:
     words = [p.split(b" ") for p in phrases]
     every = pa.array([w for p in words for w in p], pa.large_binary()).dictionary_encode()
-    labels = np.zeros((len(words), MOST_WORDS), dtype=np.int64)
+    labels = np.zeros((len(words), MOST_WORDS), dtype=np.int32)
     labels[np.arange(MOST_WORDS) < np.array([len(p) for p in words])[:, None]] = every.indices.to_numpy() + 1
     return Automaton.of(every.dictionary, labels, np.array(weights, dtype=np.int64))
 
