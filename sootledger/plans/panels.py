@@ -41,6 +41,7 @@ from sootledger.sources.warehouse import Star
 
 Period = tuple[str | dt.date | None, str | dt.date | None]
 ALWAYS: Period = (None, None)
+LINEAGE = ("ingest_date", "load_order")
 
 
 def _wide(
@@ -175,13 +176,16 @@ def by_transport(trips: DataFrame, site: str | None = None, kind: str | None = N
 
 def top_trips(
     trips: DataFrame, n: int = 10, site: str | None = None, kind: str | None = None,
-    transport: str | None = None, order: Sequence[str] = ("DATE",),
+    transport: str | None = None, order: Sequence[str] | None = None,
 ) -> DataFrame:
     """The n trips with the greatest emissions, one row per trip, with display texts.
 
     Of a trip sent more than once, the first row in the given order counts, whatever its
-    emissions: by day, or by the lineage (ingest_date, load_order) of frames that carry it.
+    emissions. Without an order it is the one loaded first, where the rows carry the day they came and
+    their place in it (facts of a loaded or published warehouse do), else the one of the earliest day.
     """
+    if order is None:
+        order = LINEAGE if set(LINEAGE) <= set(trips.columns) else ("DATE",)
     rows = _chosen(trips, site, kind, transport).withColumn(
         "route", route_label("VILLE_DEPART", "VILLE_DESTINATION")
     )

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,20 @@ from sootledger.plans.enrich import (
     missing_distances,
     personnel_dimension,
 )
-from sootledger.plans.loading import dim_delta_of, fact_rows
+from sootledger.plans.loading import repaired_deltas
 from sootledger.session import tune
-from sootledger.sinks.ledger import Layout, append_distances, publish, write_days
+from sootledger.sinks.ledger import (
+    Days,
+    Layout,
+    append_distances,
+    files_of,
+    last_complete,
+    publish,
+    read_changes,
+    record_change,
+    write_days,
+)
+from sootledger.sinks.published import Part, bucket_of, read_listing, read_parts
 from sootledger.sources.drops import (
     read_equipment_drops,
     read_personnel_drops,
@@ -39,7 +50,14 @@ from sootledger.sources.references import (
     read_impacts,
     split_impacts,
 )
-from sootledger.sources.warehouse import as_of, read_deltas, read_log, stored_deltas, stored_log
+from sootledger.sources.warehouse import (
+    delta_schema,
+    dimension_of,
+    facts_of,
+    log_schema,
+    read_deltas,
+    read_log,
+)
 
 LOG_PARTITIONS = ("ingest_date", "site_dir")
 
@@ -91,16 +109,16 @@ def build_distances(
 
 
 def load_trips(
-    spark: SparkSession, layout: Layout, raw: DataFrame, refs: References, load: str, days=None
+    spark: SparkSession, layout: Layout, raw: DataFrame, refs: References, load: str, days: Days
 ) -> None:
     """Trips into the log. Distances that had to be computed are stored first.
 
-    ``days`` is a predicate on ingest_date of all days that ``raw`` covers: what the log holds of
-    them and ``raw`` does not is emptied.
+    ``days`` are all days that ``raw`` covers: what the log holds of them and ``raw`` does not is removed.
 
     The stored table, not the plan that computed it, feeds the join: its size is
     known to Catalyst and a lost executor does not recompute it.
     """
+    record_change(spark, layout, "mission", days)
     known = with_stored_distances(spark, layout, refs)
     append_distances(missing_distances(raw, known.distances, refs.coordinates), layout, load)
     known = with_stored_distances(spark, layout, refs)
@@ -108,33 +126,36 @@ def load_trips(
     write_days(trips, layout.log("mission"), LOG_PARTITIONS, _covered(spark, layout, "mission", days))
 
 
-def load_equipment(layout: Layout, raw: DataFrame, refs: References, days=None) -> None:
+def load_equipment(layout: Layout, raw: DataFrame, refs: References, days: Days) -> None:
     """Equipment into the log; ``days`` as for trips."""
+    spark = raw.sparkSession
+    record_change(spark, layout, "materiel", days)
     goods = clean_equipment(raw, refs.by_model, refs.by_type)
-    stale = _covered(raw.sparkSession, layout, "materiel", days)
-    write_days(goods, layout.log("materiel"), LOG_PARTITIONS, stale)
+    write_days(goods, layout.log("materiel"), LOG_PARTITIONS, _covered(spark, layout, "materiel", days))
 
 
-def _covered(spark: SparkSession, layout: Layout, kind: str, days) -> DataFrame | None:
-    return None if days is None else stored_log(spark, layout, kind).filter(days)
+def _covered(spark: SparkSession, layout: Layout, kind: str, days: Days):
+    return lambda: files_of(spark, layout.log(kind), log_schema(kind), days.predicate)
 
 
-def write_deltas(spark: SparkSession, layout: Layout, kind: str, days) -> None:
+def write_deltas(spark: SparkSession, layout: Layout, kind: str, days: Days) -> None:
     """Deltas of some days: new dimension keys and the day's facts.
 
-    ``days`` is a predicate on ingest_date. Deltas stored for these days are replaced, by
-    nothing where a day has no new key or fact any more. The keys already known come from
-    the deltas of the other days.
+    Deltas stored for these days are replaced, by nothing where a day has no new key or fact any more.
+    Deltas of other days change where the loaded days bring a key first, or do so no more.
     """
-    some = read_log(spark, layout, kind).filter(days)
+    log = read_log(spark, layout, kind)
     fact, dim = f"FAIT_{kind.upper()}", f"DIM_{kind.upper()}"
-    dim_columns = schemas.names(schemas.WAREHOUSE[dim])
-    fact_columns = schemas.names(schemas.WAREHOUSE[fact])
-    known = read_deltas(spark, layout, dim).filter(~days)
-    new = dim_delta_of(some, known, schemas.PRIMARY_KEY[dim], dim_columns)
-    for table, rows in ((dim, new), (fact, fact_rows(some, fact_columns))):
-        stale = stored_deltas(spark, layout, table).filter(days)
-        write_days(rows, layout.delta(table), stale=stale)
+    columns = schemas.names(schemas.WAREHOUSE[dim])
+    rows, other = repaired_deltas(
+        log, read_deltas(spark, layout, dim), days.predicate, schemas.PRIMARY_KEY[dim], columns
+    )
+    all_days = Days((*days.ranges, *Days.of(other).ranges))
+    for table, df, those in ((dim, rows, all_days), (fact, facts_of(log.filter(days.predicate), kind), days)):
+        write_days(
+            df, layout.delta(table),
+            covered=lambda: files_of(spark, layout.delta(table), delta_schema(table), those.predicate),
+        )
 
 
 def initialise(spark: SparkSession, layout: Layout, drops: str) -> int:
@@ -147,12 +168,61 @@ def initialise(spark: SparkSession, layout: Layout, drops: str) -> int:
 
 
 def publish_snapshots(
-    spark: SparkSession, layout: Layout, labels: tuple[str, ...] = ("latest", "final")
+    spark: SparkSession,
+    layout: Layout,
+    labels: tuple[str, ...] = ("latest", "final"),
+    full: bool = False,
 ) -> int:
-    """Full tables from the log; personnel stays the copy of ``init``."""
-    star = as_of(spark, layout, dt.date(9999, 12, 31))
-    tables = {t: df for t, df in star.tables().items() if t != "DIM_PERSONNEL"}
-    return publish(spark, layout, tables, labels, unchanged={"DIM_PERSONNEL": "init"})
+    """Full tables from the log; personnel stays the copy of ``init``.
+
+    Beside the newest full version only days that were loaded since are read: facts get the parts of these
+    days, dimensions the buckets of the keys that came with them. All other parts are referenced. ``full``,
+    or another number of buckets, builds everything from the log, with the same rows.
+    """
+    base = None if full else last_complete(spark, layout)
+    changes = read_changes(spark, layout)
+    seen = changes.agg(F.max("seq")).first()[0] or 0
+    tables, kept = {}, {}
+    for kind in ("mission", "materiel"):
+        fact, dim = f"FAIT_{kind.upper()}", f"DIM_{kind.upper()}"
+        log = read_log(spark, layout, kind)
+        stored = {t: read_listing(spark, base[1][t]) for t in (fact, dim)} if base else {}
+        if base is None or any(p.buckets != layout.buckets for parts in stored.values() for p in parts):
+            tables[fact], tables[dim] = facts_of(log, kind), dimension_of(log, kind)
+            continue
+        newer = changes.filter((F.col("kind") == kind) & (F.col("seq") > base[0]))
+        days = Days(tuple((r["first"], r["last"]) for r in newer.select("first", "last").distinct().collect()))
+        tables[fact] = facts_of(log.filter(days.predicate), kind)
+        kept[fact] = [p for p in stored[fact] if dt.date.fromisoformat(p.part) not in days]
+        again = len(kept[fact]) < len(stored[fact])
+        tables[dim], touched = changed_buckets(log, stored[dim], days.predicate, kind, layout.buckets, again)
+        kept[dim] = [p for p in stored[dim] if p.part not in touched]
+    return publish(
+        spark, layout, tables, labels, unchanged={"DIM_PERSONNEL": "init"}, kept=kept, seen=seen
+    )
+
+
+def changed_buckets(
+    log: DataFrame, parts: Sequence[Part], days: Column, kind: str, buckets: int, again: bool
+) -> tuple[DataFrame, set[str]]:
+    """Rows of the buckets of a dimension that some loaded days change, and these buckets.
+
+    ``parts`` are the published ones, of which only the changed ones are read. ``again`` says that they may hold
+    rows of these days: then keys whose last row was one of them are looked up in the rest of the log.
+    """
+    dim = f"DIM_{kind.upper()}"
+    key, spark = schemas.PRIMARY_KEY[dim], log.sparkSession
+    came = dimension_of(log.filter(days), kind)
+    named = came.select(key)
+    if again:
+        gone = read_parts(spark, dim, parts).filter(days).select(key)
+        came = came.unionByName(dimension_of(log.filter(~days).join(gone, key, "left_semi"), kind))
+        named = named.unionByName(gone)
+    bucket = bucket_of(key, buckets).cast("string").alias("bucket")
+    touched = {r["bucket"] for r in named.select(bucket).distinct().collect()}
+    stay = read_parts(spark, dim, [p for p in parts if p.part in touched]).filter(~days)
+    rows = stay.select(*came.columns).unionByName(came)
+    return last_per_key(rows, key, ["ingest_date", "load_order"]), touched
 
 
 def run_range(
@@ -167,7 +237,7 @@ def run_range(
     """Load an inclusive range of days of all sites in one pass; running it again is harmless."""
     tune(spark)
     load = f"{start:%Y%m%d}-{end:%Y%m%d}"
-    days = F.col("ingest_date").between(F.lit(start), F.lit(end))
+    days = Days(((start, end),))
     load_trips(spark, layout, read_trip_drops(spark, drops, start, end), refs, load, days)
     load_equipment(layout, read_equipment_drops(spark, drops, start, end), refs, days)
     for kind in ("mission", "materiel"):

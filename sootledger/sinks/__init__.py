@@ -1,17 +1,16 @@
 """Writers: day log, deltas, versioned snapshots, distance reference, CSV export."""
 
 from sootledger.sinks.ledger import (
+    Days,
     Layout,
     append_distances,
     export_csv,
     publish,
-    save_bucketed,
-    with_keys,
     write_days,
-    write_snapshot,
 )
+from sootledger.sinks.published import read_published, with_keys, write_parts
 
 __all__ = [
-    "Layout", "append_distances", "export_csv", "publish", "save_bucketed", "with_keys",
-    "write_days", "write_snapshot",
+    "Days", "Layout", "append_distances", "export_csv", "publish", "read_published", "with_keys",
+    "write_days", "write_parts",
 ]

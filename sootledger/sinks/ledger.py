@@ -4,20 +4,23 @@ log/<table>/ingest_date=…/site_dir=…   cleaned rows, one partition per drop
 delta/<table>/ingest_date=…            what a day added
 snapshot/<table>/v=N                   full tables, never overwritten once published
 manifest/                              which snapshot a label (init, latest, final) means
+changes/, published/                   days that loads may have changed; the last one a version includes
 distances/load=…                       city-pair distances, appended
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+import time
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sootledger import schemas
 from sootledger.files import CSV_WRITE_OPTIONS, or_empty
+from sootledger.sinks.published import Part, write_listing, write_parts
 
 MANIFEST = T.StructType(
     [
@@ -27,11 +30,28 @@ MANIFEST = T.StructType(
         T.StructField("path", T.StringType()),
     ]
 )
+PUBLISHED = T.StructType(
+    [T.StructField("version", T.LongType()), T.StructField("seen", T.LongType())]
+)
+CHANGES = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("first", T.DateType()),
+        T.StructField("last", T.DateType()),
+        T.StructField("seq", T.LongType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
 class Layout:
+    """Where the warehouse lies, and in how many buckets its published tables are.
+
+    Choose the buckets so that a bucket of the largest dimension fits a task.
+    """
+
     root: str
+    buckets: int = 8
 
     def log(self, table: str) -> str:
         return f"{self.root}/log/{table}"
@@ -46,27 +66,54 @@ class Layout:
     def manifest(self) -> str:
         return f"{self.root}/manifest"
 
+    @property
+    def changes(self) -> str:
+        return f"{self.root}/changes"
+
+    @property
+    def published(self) -> str:
+        return f"{self.root}/published"
+
     @property
     def distances(self) -> str:
         return f"{self.root}/distances"
 
 
+def files_of(spark: SparkSession, path: str, schema: T.StructType, rows: Column) -> set[str]:
+    """Files below a path that hold rows under a condition (names only, for partitions a load covers)."""
+
+    def read():
+        stored = spark.read.schema(schema).parquet(path)
+        return stored.filter(rows).select(F.col("_metadata.file_path").alias("file")).distinct()
+
+    listed = or_empty(spark, read, T.StructType([T.StructField("file", T.StringType())]))
+    return {r["file"] for r in listed.collect()}
+
+
+def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Remove folders of a table, named by URI; one that is gone already is no error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in sorted(folders):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(conf).delete(path, True)
+
+
 def write_days(
     df: DataFrame,
     path: str,
     partitions: tuple[str, ...] = ("ingest_date",),
-    stale: DataFrame | None = None,
+    covered: Callable[[], set[str]] | None = None,
 ) -> None:
-    """Replace exactly the partitions present in the frame or in ``stale``; the others stay.
+    """Replace exactly the partitions present in the frame; the others stay.
 
-    ``stale`` names stored partitions that the load covers. Each gets a row of NULLs, which
-    readers drop, so one that brings no rows any more is emptied in the same commit.
+    ``covered`` lists the files of stored partitions that the load covers. Those that are still there
+    afterwards belong to partitions that bring no rows any more: they are removed, so that nobody reads
+    them. A run that dies in between leaves them, and is repeated.
     The rebalance hint groups rows by partition before the write, and adaptive
     execution splits a partition that holds too many of them, so there are
     neither thousands of small files nor one huge task.
     """
-    if stale is not None:
-        df = df.unionByName(stale.select(*partitions).distinct(), allowMissingColumns=True)
+    before = covered() if covered else set()
     (
         df.hint("rebalance", *partitions)
         .write.mode("overwrite")
@@ -74,25 +121,8 @@ def write_days(
         .partitionBy(*partitions)
         .parquet(path)
     )
-
-
-def with_keys(df: DataFrame, table: str) -> DataFrame:
-    """Add the lower-case copies that case-insensitive filters use."""
-    columns = [c for c in schemas.KEYED_COLUMNS.get(table, []) if c in df.columns]
-    return df.withColumns({f"{c}_KEY": F.lower(c) for c in columns})
-
-
-def write_snapshot(df: DataFrame, table: str, path: str) -> None:
-    """Full table in files of even size; a fact file holds few days, sorted.
-
-    Rows are rebalanced rather than range-partitioned: nothing is sampled, the
-    number of files follows the size of the table, and one busy day is split
-    over several files. Day filters then skip whole files by their statistics.
-    """
-    day = schemas.DATE_COLUMN.get(table)
-    order = [c for c in (day, schemas.PRIMARY_KEY[table]) if c]
-    even = df.hint("rebalance", day) if day else df.hint("rebalance")
-    with_keys(even, table).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    if before:
+        delete_folders(df.sparkSession, {f.rsplit("/", 1)[0] for f in before & covered()})
 
 
 def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -119,29 +149,80 @@ def publish(
     tables: Mapping[str, DataFrame],
     labels: tuple[str, ...] = ("latest",),
     unchanged: Mapping[str, str] | None = None,
+    kept: Mapping[str, Sequence[Part]] | None = None,
+    seen: int | None = None,
 ) -> int:
     """Write a new version of some tables, then point labels at it.
 
     ``unchanged`` maps a table to the label whose copy is still valid: its path
-    is referenced, nothing is copied. Readers see either the old or the new
+    is referenced, nothing is copied. ``kept`` names parts of earlier versions that
+    stay in a table beside the rows given for it. ``seen`` is the last change of the log
+    that the version includes. Readers see either the old or the new
     version, because the manifest row is written last.
     """
     version = next_version(spark, layout)
     paths = {}
     for table, label in (unchanged or {}).items():
-        kept = label_paths(spark, layout, label).get(table)
-        if kept is None:
+        there = label_paths(spark, layout, label).get(table)
+        if there is None:
             raise FileNotFoundError(f"no {table} published as {label!r} below {layout.root}")
-        paths[table] = kept
+        paths[table] = there
     for table, df in tables.items():
         if table not in paths:
-            paths[table] = layout.snapshot(table, version)
-            write_snapshot(df, table, paths[table])
+            paths[table] = path = layout.snapshot(table, version)
+            parts = write_parts(df, table, path, layout.buckets)
+            write_listing(spark, path, [*parts, *(kept or {}).get(table, ())])
+    if seen is not None:
+        rows = spark.createDataFrame([(version, seen)], PUBLISHED)
+        rows.coalesce(1).write.mode("append").json(layout.published)
     rows = [(label, version, t, p) for label in labels for t, p in paths.items()]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").json(layout.manifest)
     return version
 
 
+@dataclass(frozen=True)
+class Days:
+    """Days as inclusive ranges."""
+
+    ranges: tuple[tuple[dt.date, dt.date], ...]
+
+    @classmethod
+    def of(cls, days: Iterable[dt.date]) -> Days:
+        return cls(tuple((d, d) for d in sorted(set(days))))
+
+    def __contains__(self, day: dt.date) -> bool:
+        return any(a <= day <= b for a, b in self.ranges)
+
+    @property
+    def predicate(self) -> Column:
+        """Condition on ingest_date, true or false."""
+        singles = [a for a, b in self.ranges if a == b]
+        found = F.col("ingest_date").isin(singles) if singles else F.lit(False)
+        for a, b in self.ranges:
+            if a != b:
+                found = found | F.col("ingest_date").between(F.lit(a), F.lit(b))
+        return found
+
+
+def record_change(spark: SparkSession, layout: Layout, kind: str, days: Days) -> None:
+    """Note, before a load writes, which days it may change; one writer loads and publishes at a time."""
+    seq = time.time_ns() // 1000
+    rows = [(kind, a, b, seq) for a, b in days.ranges]
+    spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").json(layout.changes)
+
+
+def read_changes(spark: SparkSession, layout: Layout) -> DataFrame:
+    return or_empty(spark, lambda: spark.read.schema(CHANGES).json(layout.changes), CHANGES)
+
+
+def last_complete(spark: SparkSession, layout: Layout) -> tuple[int, dict[str, str]] | None:
+    """The last change that the newest published full version includes, and the paths of its tables."""
+    seen = or_empty(spark, lambda: spark.read.schema(PUBLISHED).json(layout.published), PUBLISHED)
+    rows = read_manifest(spark, layout).join(seen, "version")
+    newest = rows.join(rows.agg(F.max("version").alias("version")), "version").collect()
+    return (newest[0]["seen"], {r["table"]: r["path"] for r in newest}) if newest else None
+
+
 def append_distances(df: DataFrame, layout: Layout, load: str, refresh: bool = False) -> None:
     """Add distance rows under a load label; readers take the newest row of a pair.
 
@@ -163,16 +244,3 @@ def export_csv(df: DataFrame, path: str, by_day: bool = False) -> None:
     else:
         write = (df.coalesce(1) if df.isEmpty() else df).write
     write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(path)
-
-
-def save_bucketed(df: DataFrame, name: str, table: str, buckets: int) -> None:
-    """Catalog table bucketed by primary key: facts and dimensions then join unshuffled."""
-    key = schemas.PRIMARY_KEY[table]
-    (
-        with_keys(df, table)
-        .write.mode("overwrite")
-        .bucketBy(buckets, key)
-        .sortBy(key)
-        .format("parquet")
-        .saveAsTable(name)
-    )

@@ -18,6 +18,7 @@ from sootledger.operators.ranking import last_per_key
 from sootledger.plans.loading import dim_snapshot, fact_rows
 from sootledger.sinks.ledger import Layout, label_paths, read_manifest
 from sootledger.files import or_empty, read_delimited
+from sootledger.sinks.published import read_published
 
 DAY = re.compile(r"^\d{4}-\d{2}-\d{2}$")
 LOG_OF = {
@@ -48,33 +49,20 @@ def _empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], schemas.WAREHOUSE[table])
 
 
-def _stored_schema(table: str, lineage: bool) -> T.StructType:
+def delta_schema(table: str) -> T.StructType:
     schema = T.StructType(list(schemas.WAREHOUSE[table].fields))
-    for c in [] if lineage else schemas.KEYED_COLUMNS.get(table, []):
-        schema = schema.add(f"{c}_KEY", "string")
-    if lineage:
-        schema = schema.add("load_order", "long").add("ingest_date", "date")
-    return schema
+    return schema.add("load_order", "long").add("ingest_date", "date")
 
 
-def _read_published(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """A table that the manifest names; it is an error when it is gone."""
-    return spark.read.schema(_stored_schema(table, lineage=False)).parquet(path)
-
-
-def present(stored: DataFrame) -> DataFrame:
-    """Rows of a log or delta, without the rows of NULLs that mark emptied partitions."""
-    return stored.filter(F.col("load_order").isNotNull())
-
-
-def stored_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+def read_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """Deltas of a table; none before its first load."""
-    schema = _stored_schema(table, lineage=True)
+    schema = delta_schema(table)
     return or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.delta(table)), schema)
 
 
-def read_deltas(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
-    return present(stored_deltas(spark, layout, table))
+def without_lineage(df: DataFrame, table: str) -> DataFrame:
+    """Facts keep the day they came and their place in it, which order rows of one key; dimensions need neither."""
+    return df if table in schemas.DATE_COLUMN else df.drop("ingest_date", "load_order")
 
 
 def load_star(spark: SparkSession, layout: Layout, version: str = "latest") -> Star:
@@ -85,8 +73,7 @@ def load_star(spark: SparkSession, layout: Layout, version: str = "latest") -> S
     if DAY.match(version):
         day = F.lit(dt.date.fromisoformat(version))
         tables = {
-            t: read_deltas(spark, layout, t).filter(F.col("ingest_date") == day)
-            .drop("ingest_date", "load_order")
+            t: without_lineage(read_deltas(spark, layout, t).filter(F.col("ingest_date") == day), t)
             for t in LOG_OF
         }
         paths = {}
@@ -94,7 +81,7 @@ def load_star(spark: SparkSession, layout: Layout, version: str = "latest") -> S
         paths = label_paths(spark, layout, version)
         if not paths:
             raise FileNotFoundError(f"no version {version!r} below {layout.root}")
-        tables = {t: _read_published(spark, p, t) for t, p in paths.items()}
+        tables = {t: without_lineage(read_published(spark, p, t), t) for t, p in paths.items()}
     if version != "latest" or "DIM_PERSONNEL" not in tables:
         tables["DIM_PERSONNEL"] = _personnel_of_init(spark, layout)
     return Star.of({t: tables.get(t, _empty(spark, t)) for t in schemas.WAREHOUSE})
@@ -104,7 +91,7 @@ def _personnel_of_init(spark: SparkSession, layout: Layout) -> DataFrame:
     path = label_paths(spark, layout, "init").get("DIM_PERSONNEL")
     if path is None:
         raise FileNotFoundError(f"no personnel below {layout.root}: run initialise first")
-    return _read_published(spark, path, "DIM_PERSONNEL")
+    return read_published(spark, path, "DIM_PERSONNEL")
 
 
 def rebuild_from_days(days: DataFrame, pk: str) -> DataFrame:
@@ -119,27 +106,36 @@ def load_star_any(spark: SparkSession, layout: Layout) -> Star:
     for table in schemas.WAREHOUSE:
         path = final.get(table) or latest.get(table)
         if path:
-            tables[table] = _read_path(spark, path, table)
+            tables[table] = without_lineage(read_published(spark, path, table), table)
         elif table == "DIM_PERSONNEL":
             tables[table] = _personnel_of_init(spark, layout)
         else:
             days = read_deltas(spark, layout, table)
-            tables[table] = rebuild_from_days(days, schemas.PRIMARY_KEY[table]).drop(
-                "ingest_date", "load_order"
-            )
+            tables[table] = without_lineage(rebuild_from_days(days, schemas.PRIMARY_KEY[table]), table)
     return Star.of(tables)
 
 
-def stored_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
+def log_schema(kind: str) -> T.StructType:
     dim, fact = f"DIM_{kind.upper()}", f"FAIT_{kind.upper()}"
     both = {f.name: f for f in [*schemas.WAREHOUSE[fact].fields, *schemas.WAREHOUSE[dim].fields]}
     schema = T.StructType(list(both.values())).add("load_order", "long")
-    schema = schema.add("ingest_date", "date").add("site_dir", "string")
-    return or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.log(kind)), schema)
+    return schema.add("ingest_date", "date").add("site_dir", "string")
 
 
 def read_log(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
-    return present(stored_log(spark, layout, kind))
+    schema = log_schema(kind)
+    return or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.log(kind)), schema)
+
+
+def facts_of(log: DataFrame, kind: str) -> DataFrame:
+    """Facts of the days of a log, with their lineage."""
+    return fact_rows(log, schemas.names(schemas.WAREHOUSE[f"FAIT_{kind.upper()}"]))
+
+
+def dimension_of(log: DataFrame, kind: str) -> DataFrame:
+    """Last row of each key of a log, with its lineage."""
+    dim = f"DIM_{kind.upper()}"
+    return dim_snapshot(log, schemas.PRIMARY_KEY[dim], schemas.names(schemas.WAREHOUSE[dim]))
 
 
 def as_of(spark: SparkSession, layout: Layout, day: dt.date) -> Star:
@@ -147,13 +143,9 @@ def as_of(spark: SparkSession, layout: Layout, day: dt.date) -> Star:
     tables = {"DIM_PERSONNEL": _personnel_of_init(spark, layout)}
     for kind in ("mission", "materiel"):
         log = read_log(spark, layout, kind).filter(F.col("ingest_date") <= F.lit(day))
-        fact, dim = f"FAIT_{kind.upper()}", f"DIM_{kind.upper()}"
-        tables[fact] = fact_rows(log, schemas.names(schemas.WAREHOUSE[fact])).drop(
-            "ingest_date", "load_order"
-        )
-        tables[dim] = dim_snapshot(
-            log, schemas.PRIMARY_KEY[dim], schemas.names(schemas.WAREHOUSE[dim])
-        ).drop("ingest_date", "load_order")
+        tables[f"FAIT_{kind.upper()}"] = facts_of(log, kind)
+        dim = f"DIM_{kind.upper()}"
+        tables[dim] = without_lineage(dimension_of(log, kind), dim)
     return Star.of(tables)
 
 

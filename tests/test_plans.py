@@ -13,9 +13,8 @@ from sootledger import schemas
 from sootledger.operators.joins import star as star_join
 from sootledger.plans import loading, panels, questions
 from sootledger.session import cut_lineage
-from sootledger.sinks import Layout, publish, save_bucketed
+from sootledger.sinks import Layout, publish
 from sootledger.sources import load_star
-from sootledger.sources.warehouse import Star
 from tests.conftest import rows
 
 SF = "/root/testdata/sf0.001"
@@ -132,25 +131,29 @@ def test_a_hot_join_key_is_split_over_tasks(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+def shuffled_rows(df):
+    """Shuffles of a plan that move rows, not sums of rows."""
+    lines = plan_of(df, "simple").splitlines()
+    return sum("Exchange hashpartitioning" in x and "Aggregate" not in below for x, below in zip(lines, lines[1:]))
+
+
+def test_published_tables_join_without_a_shuffle(spark, stored):
+    """From publish and load_star, nothing broadcast: facts meet dimensions where they lie."""
     source = mapped_star(spark, SF)
-    names = {"FAIT_MISSION": source.fait_mission, "DIM_MISSION": source.dim_mission}
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for table, df in names.items():
-            spark.sql(f"DROP TABLE IF EXISTS b_{table}")
-            save_bucketed(df, f"b_{table}", table, 4)
-        joined = star_join(spark.table("b_FAIT_MISSION"), spark.table("b_DIM_MISSION"), "ID_MISSION")
+        joined = star_join(stored.fait_mission, stored.dim_mission, "ID_MISSION")
         assert "Exchange" not in plan_of(joined, "simple")
         assert joined.count() == source.fait_mission.count()
-        bucketed = Star(**{**{k.lower(): v for k, v in source.tables().items()},
-                           "fait_mission": spark.table("b_FAIT_MISSION"),
-                           "dim_mission": spark.table("b_DIM_MISSION")})
-        assert rows(questions.q19(bucketed), "Mois", "Site") == rows(questions.q19(source), "Mois", "Site")
+        trips = panels.trips_wide(stored, sector=False)
+        period = {"start": "1997-06-01", "end": "1997-09-30"}
+        for df in (questions.q4(stored, **period), questions.q10(stored), panels.monthly_trips(trips)):
+            assert "SortMergeJoin" in plan_of(df, "simple")
+            assert shuffled_rows(df) == 0
+        assert shuffled_rows(star_join(source.fait_mission, source.dim_mission, "ID_MISSION")) == 2
+        assert rows(questions.q19(stored), "Mois", "Site") == rows(questions.q19(source), "Mois", "Site")
     finally:
-        for table in names:
-            spark.sql(f"DROP TABLE IF EXISTS b_{table}")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
