@@ -112,9 +112,11 @@ def read_listing(spark: SparkSession, path: str) -> list[Part]:
     return [Part(*r) for r in rows]
 
 
-def uneven(parts: Sequence[Part]) -> bool:
-    fullest, rows, buckets = sum(p.fullest for p in parts), sum(p.rows for p in parts), parts[0].buckets
-    return fullest > max(UNEVEN * rows / buckets, LARGE)
+def uneven(table: str, parts: Sequence[Part]) -> bool:
+    """Whether one bucket of a table has far more rows than the others: a day's parts add up, a dimension's are buckets."""
+    together = sum if table in schemas.DATE_COLUMN else max
+    mean = sum(p.rows for p in parts) / parts[0].buckets
+    return together(p.fullest for p in parts) > max(UNEVEN * mean, LARGE)
 
 
 def read_parts(spark: SparkSession, table: str, parts: Sequence[Part]) -> DataFrame:
@@ -129,7 +131,7 @@ def read_published(spark: SparkSession, path: str, table: str) -> DataFrame:
     """A published table with its lineage, as buckets of its key; it is an error when a part is gone."""
     parts = read_listing(spark, path)
     plain = read_parts(spark, table, parts)
-    if not parts or uneven(parts) or len({p.buckets for p in parts}) > 1:
+    if not parts or uneven(table, parts) or len({p.buckets for p in parts}) > 1:
         return plain
     return spark.table(_registered(spark, path, table, parts)).drop("part")
 
