@@ -419,6 +419,8 @@ LOADING = {
         ID_MATERIEL, ID_SITE, ID_DATE_ACHAT, MIN(load_order) AS load_order FROM materiel GROUP BY ALL""",
     "user_delta": _with(("event_log",))
     + _ranked("event_log", "user_id", _USER, "ingest_date, load_order DESC"),
+    "repaired_user_deltas": _with(("event_log",))
+    + _ranked("event_log", "user_id", _USER, "ingest_date, load_order DESC"),
     "user_delta_of_days": _with(("event_log",)) + f"""SELECT ingest_date, load_order, {_USER}
         FROM event_log e WHERE ingest_date >= DATE '2024-01-02' AND NOT EXISTS (
             SELECT 1 FROM event_log o WHERE o.user_id = e.user_id AND o.ingest_date < e.ingest_date)

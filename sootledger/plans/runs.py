@@ -180,18 +180,17 @@ def publish_snapshots(
     or another number of buckets, builds everything from the log, with the same rows.
     """
     base = None if full else last_complete(spark, layout)
-    changes = read_changes(spark, layout)
-    seen = changes.agg(F.max("seq")).first()[0] or 0
-    tables, kept = {}, {}
+    tables, kept, seen = {}, {}, 0
     for kind in ("mission", "materiel"):
+        changes = read_changes(spark, layout, kind).collect()  # one row for each load
+        seen = max([seen, *(r["seq"] for r in changes)])
         fact, dim = f"FAIT_{kind.upper()}", f"DIM_{kind.upper()}"
         log = read_log(spark, layout, kind)
         stored = {t: read_listing(spark, base[1][t]) for t in (fact, dim)} if base else {}
         if base is None or any(p.buckets != layout.buckets for parts in stored.values() for p in parts):
             tables[fact], tables[dim] = facts_of(log, kind), dimension_of(log, kind)
             continue
-        newer = changes.filter((F.col("kind") == kind) & (F.col("seq") > base[0]))
-        days = Days(tuple((r["first"], r["last"]) for r in newer.select("first", "last").distinct().collect()))
+        days = Days(tuple({(r["first"], r["last"]) for r in changes if r["seq"] > base[0]}))
         tables[fact] = facts_of(log.filter(days.predicate), kind)
         kept[fact] = [p for p in stored[fact] if dt.date.fromisoformat(p.part) not in days]
         again = len(kept[fact]) < len(stored[fact])

@@ -4,7 +4,8 @@ log/<table>/ingest_date=…/site_dir=…   cleaned rows, one partition per drop
 delta/<table>/ingest_date=…            what a day added
 snapshot/<table>/v=N                   full tables, never overwritten once published
 manifest/                              which snapshot a label (init, latest, final) means
-changes/, published/                   days that loads may have changed; the last one a version includes
+inventory/<kind>                       drop files as the stream loaded them
+changes/<kind>, published/             days that loads may have changed; the last one a version includes
 distances/load=…                       city-pair distances, appended
 """
 
@@ -66,9 +67,11 @@ class Layout:
     def manifest(self) -> str:
         return f"{self.root}/manifest"
 
-    @property
-    def changes(self) -> str:
-        return f"{self.root}/changes"
+    def inventory(self, kind: str) -> str:
+        return f"{self.root}/inventory/{kind}"
+
+    def changes(self, kind: str) -> str:
+        return f"{self.root}/changes/{kind}"
 
     @property
     def published(self) -> str:
@@ -205,14 +208,14 @@ class Days:
 
 
 def record_change(spark: SparkSession, layout: Layout, kind: str, days: Days) -> None:
-    """Note, before a load writes, which days it may change; one writer loads and publishes at a time."""
+    """Note, before a load writes, which days it may change; a kind is loaded, or all is published, by one writer at a time."""
     seq = time.time_ns() // 1000
     rows = [(kind, a, b, seq) for a, b in days.ranges]
-    spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").json(layout.changes)
+    spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").json(layout.changes(kind))
 
 
-def read_changes(spark: SparkSession, layout: Layout) -> DataFrame:
-    return or_empty(spark, lambda: spark.read.schema(CHANGES).json(layout.changes), CHANGES)
+def read_changes(spark: SparkSession, layout: Layout, kind: str) -> DataFrame:
+    return or_empty(spark, lambda: spark.read.schema(CHANGES).json(layout.changes(kind)), CHANGES)
 
 
 def last_complete(spark: SparkSession, layout: Layout) -> tuple[int, dict[str, str]] | None:

@@ -57,6 +57,7 @@ def with_lineage(
     sites: Sequence[str] = domain.SITE_CODES,
     start: dt.date | None = None,
     end: dt.date | None = None,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
     """Add ingest_date, site_dir and load_order; keep only files of the listed sites and of some days.
 
@@ -67,6 +68,8 @@ def with_lineage(
         df = df.filter(F.col("ingest_date") >= F.lit(start))
     if end:
         df = df.filter(F.col("ingest_date") <= F.lit(end))
+    if days is not None:
+        df = df.filter(F.col("ingest_date").isin(list(days)) if days else F.lit(False))
     df = df.withColumn("site_dir", site_dir_of("_path")).filter(F.col("site_dir").isin(*sites))
     position = row_position(F.col("_start"))
     df = df.withColumn("load_order", load_order(F.col("site_dir"), position, sites))
@@ -84,10 +87,10 @@ def no_value_to_null(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumns({c: na_to_null(c) for c in columns})
 
 
-def _read_daily(spark, root, schema, glob, start, end, sites, header) -> DataFrame:
+def _read_daily(spark, root, schema, glob, start, end, sites, header, days) -> DataFrame:
     layout = T.StructType([T.StructField(c, T.StringType()) for c in header]) if header else schema
     df = drop_stream_columns(read_delimited(spark, root, ";", layout, glob))
-    return no_value_to_null(with_lineage(df, sites, start, end), schema)
+    return no_value_to_null(with_lineage(df, sites, start, end, days), schema)
 
 
 def read_trip_drops(
@@ -97,9 +100,10 @@ def read_trip_drops(
     end: dt.date | None = None,
     sites: Sequence[str] = domain.SITE_CODES,
     header: Sequence[str] | None = None,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """Trip files; ``header`` names the columns of files with another layout."""
-    return _read_daily(spark, root, schemas.RAW_TRIP, TRIP_GLOB, start, end, sites, header)
+    """Trip files of a range of days, or of some ``days``; ``header`` names the columns of another layout."""
+    return _read_daily(spark, root, schemas.RAW_TRIP, TRIP_GLOB, start, end, sites, header, days)
 
 
 def read_equipment_drops(
@@ -109,10 +113,11 @@ def read_equipment_drops(
     end: dt.date | None = None,
     sites: Sequence[str] = domain.SITE_CODES,
     header: Sequence[str] | None = None,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """Equipment files; ``header`` names the columns of files with another layout."""
+    """Equipment files of a range of days, or of some ``days``; ``header`` as for trips."""
     return _read_daily(
-        spark, root, schemas.RAW_EQUIPMENT, EQUIPMENT_GLOB, start, end, sites, header
+        spark, root, schemas.RAW_EQUIPMENT, EQUIPMENT_GLOB, start, end, sites, header, days
     )
 
 

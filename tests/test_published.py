@@ -13,6 +13,7 @@ from sootledger.sinks import Days, Layout, publish, published
 from sootledger.sinks.ledger import label_paths
 from sootledger.sources import load_star, read_equipment_drops
 from sootledger.sources.warehouse import read_deltas
+from sootledger.streaming.ingest import inventory, start_ingest, synchronise
 from tests.conftest import rows
 from tests.test_runs import buy, trip
 
@@ -151,3 +152,36 @@ def test_first_sent_row_of_a_trip_survives_publishing(spark, drops, refs, tmp_pa
     assert shown != by_day and trips.count() == 2
     [kept] = trips.where(F.col("DATE") == F.lit(DAYS[1])).select(panels.day_label("DATE").alias("d")).collect()
     assert shown == kept["d"]
+
+
+def test_stream_sees_emptied_changed_and_removed_files(spark, drops, refs, tmp_path):
+    drops.people("PARIS", [f"{PARIS};DRH;1990-03-01;2020-01-01 00:00:00"])
+    for i, day in enumerate(DAYS[:4]):
+        drops.goods("PARIS", day, [buy(f"b{i}", PARIS, day), buy("b9", PARIS, day)])
+    drops.goods("BERLIN", DAYS[0], [buy("b5", "KeyPers_Berlin_2", DAYS[0])])
+    streamed, scratch, root = Layout(str(tmp_path / "s")), Layout(str(tmp_path / "b")), str(drops.root)
+
+    def stream():
+        for q in start_ingest(spark, streamed, root, refs, str(tmp_path / "checkpoint")):
+            q.awaitTermination(240)
+            assert q.exception() is None
+
+    stream()
+    assert inventory(spark, streamed, "materiel").count() == 5
+    drops.goods("PARIS", DAYS[0], [])  # only its header: b9 and b0 were first seen here
+    drops.goods("PARIS", DAYS[1], [buy("b1", PARIS, DAYS[1], "Ecran", "OMEN")])
+    [gone] = drops.root.rglob(f"MATERIEL_INFORMATIQUE_{DAYS[2]:%Y%m%d}.txt")
+    gone.unlink()
+    drops.goods("PARIS", DAYS[4], [buy("b2", PARIS, DAYS[4])])
+    stream()
+    days = Days(((DAYS[0], DAYS[5]),))
+    runs.load_equipment(scratch, read_equipment_drops(spark, root), refs, days)
+    runs.write_deltas(spark, scratch, "materiel", days)
+    for table in ("DIM_MATERIEL", "FAIT_MATERIEL"):
+        columns = [*schemas.names(schemas.WAREHOUSE[table]), "ingest_date"]
+        assert rows(read_deltas(spark, streamed, table), *columns) == rows(read_deltas(spark, scratch, table), *columns)
+    held = rows(inventory(spark, streamed, "materiel"), "ingest_date", "site_dir", "rows")
+    assert held == [(DAYS[0], "BERLIN", 1), (DAYS[0], "PARIS", 0), (DAYS[1], "PARIS", 1), (DAYS[3], "PARIS", 2), (DAYS[4], "PARIS", 1)]
+    # Nobody who reads the folders finds more than the rows.
+    assert spark.read.parquet(streamed.log("materiel")).count() == 5
+    assert synchronise(spark, streamed, root, refs, "materiel") == []
