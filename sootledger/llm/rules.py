@@ -21,6 +21,7 @@ RUN = 8
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 LEAST_RATIO = -0.1
+FOUND = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "ratio", "kept")
 
 
 def bucket(gram: Column) -> Column:
@@ -105,15 +106,20 @@ class Table:
     buckets: int
 
     def sums(self, docs: DataFrame) -> DataFrame:
-        """Rows (_id, _sum) of rows (_id, text) that have n-grams: the sum of their log ratios.
+        """Rows (_key, _sum) of rows (_key, text) that have n-grams: the sum of their log ratios.
 
-        Up to PACKED buckets the table is broadcast and only sums move; beyond, n-grams and pages meet
-        in a shuffle. Sums of integers do not depend on the order.
+        The key stands for the text, so it does not matter how often, where or in which splits rows are read: rows
+        of one key are added up, and the sum is divided by their number. Up to PACKED buckets the table is
+        broadcast and only sums move; beyond, n-grams and pages meet in a shuffle. Sums of integers do not
+        depend on the order.
         """
-        placed = placed_grams(docs, self.buckets).select("_id", page_of("bucket"), place_of("bucket"))
+        grams = placed_grams(docs, self.buckets, first=True)
+        placed = grams.select("_key", "_first", page_of("bucket"), place_of("bucket"))
         pages = F.broadcast(self.pages) if self.buckets <= PACKED else self.pages
-        met = placed.join(pages, "page").select("_id", F.get("ratios", F.col("place")).cast("long").alias("r"))
-        return met.groupBy("_id").agg((F.sum("r") / UNIT).alias("_sum"))
+        met = placed.join(pages, "page").select(
+            "_key", "_first", F.get("ratios", F.col("place")).cast("long").alias("r")
+        )
+        return met.groupBy("_key").agg((F.sum("r") / F.count_if("_first") / UNIT).alias("_sum"))
 
 
 def page_of(bucket: str) -> Column:
@@ -124,12 +130,20 @@ def place_of(bucket: str) -> Column:
     return F.col(bucket).bitwiseAND(F.lit(PAGE - 1)).cast("int").alias("place")
 
 
-def placed_grams(docs: DataFrame, buckets: int) -> DataFrame:
-    """One row for each word and pair of neighbouring words: all columns but the text, and `bucket`."""
+def placed_grams(docs: DataFrame, buckets: int, first: bool = False) -> DataFrame:
+    """One row for each word and pair of neighbouring words: all columns but the text, and `bucket`.
+
+    `first` adds whether it is the first one of its row.
+    """
     kept = [c for c in docs.columns if c != "text"]
     one = docs.select(*kept, words(F.col("text")).alias("_words"))
     one = one.select(*kept, F.transform("_words", hashed).alias("_one"))
-    grams = one.select(*kept, F.explode(F.concat("_one", neighbours("_one", 1))).alias("_gram"))
+    every = F.concat("_one", neighbours("_one", 1))
+    if first:
+        grams = one.select(*kept, F.posexplode(every).alias("_at", "_gram"))
+        kept = [*kept, (F.col("_at") == 0).alias("_first")]
+    else:
+        grams = one.select(*kept, F.explode(every).alias("_gram"))
     return grams.select(*kept, F.pmod("_gram", F.lit(buckets).cast("long")).alias("bucket"))
 
 
@@ -163,22 +177,28 @@ def _total(hashes: str, table: Column) -> Column:
 
 
 def rated(docs: DataFrame, ratios: list[float] | Table, least: float = LEAST_RATIO) -> DataFrame:
-    """Add counts, base_failed, ratio and kept.
+    """Add counts, base_failed, ratio and kept; columns of the caller's with these names are replaced.
 
     n_repeat_words are the words that windows of eight words cover which occur twice or more in the text.
     ratio is the mean log ratio over the text's n-grams; a text with none has 0. NULL counts as
     empty, and an empty text fails the base rules. Repeated rows are rated alike.
     """
+    docs = docs.drop(*FOUND)
     if isinstance(ratios, Table):
-        return _rated_by_table(docs.withColumn("_id", F.monotonically_increasing_id()), ratios, least).drop("_id")
+        return _rated_by_table(docs.withColumn("_key", text_key()), ratios, least).drop("_key")
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
     return _rated(docs, table, least)
 
 
+def text_key() -> Column:
+    """What stands for a text where rows meet: its SHA-256."""
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
 def _rated_by_table(docs: DataFrame, ratios: Table, least: float) -> DataFrame:
-    """The same for rows numbered by `_id`: the numbers join them with their sums, texts stay."""
+    """The same for rows with `_key`, the key of their text, on which they meet their sums."""
     based = _rated(docs, None, least)
-    met = based.join(ratios.sums(docs.select("_id", "text")), "_id", "left")
+    met = based.join(ratios.sums(docs.select("_key", "text")), "_key", "left")
     ratio = F.coalesce("_sum", F.lit(0.0)) / F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     judged = met.withColumn("ratio", ratio).withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
     return judged.select(*based.columns)
@@ -237,20 +257,20 @@ def _rated(docs: DataFrame, table: Column | None, least: float) -> DataFrame:
 
 
 def kept(docs: DataFrame, ratios: list[float] | Table) -> DataFrame:
-    """The documents that pass, all columns as they were.
+    """The documents that pass, all columns as they were, whatever their names and however rows are read.
 
-    With a table, rows are numbered where they are read, once to rate them and once to pick them:
-    give rows that are read in one order, such as files.
+    With a table, keys of texts are judged first, without the rows; then rows meet the keys that pass.
     """
     columns = docs.columns
+    rows = docs.select(F.col("text"), F.struct(*columns).alias("_row"))
     if isinstance(ratios, Table):
-        rows = docs.select(F.monotonically_increasing_id().alias("doc_id"), "text", F.struct(*columns).alias("_row"))
-        numbered = rows.select(F.col("doc_id").alias("_id"), "text")
-        ids = cut(_rated_by_table(numbered, ratios, LEAST_RATIO).where("kept").select(F.col("_id").alias("doc_id")))
-        judged = flagged(rows.select("doc_id", "_row"), ids).where("trusted")
+        keyed = docs.select("text", text_key().alias("_key"))
+        judged = _rated_by_table(keyed, ratios, LEAST_RATIO)
+        good = cut(judged.where("kept").select("_key").distinct())
+        rows = rows.select("_row", text_key().alias("_key")).join(good, "_key", "left_semi")
     else:
-        judged = rated(docs.select(F.col("text"), F.struct(*columns).alias("_row")), ratios).where("kept")
-    return judged.select(*(F.col("_row").getField(c).alias(c) for c in columns))
+        rows = rated(rows, ratios).where("kept")
+    return rows.select(*(F.col("_row").getField(c).alias(c) for c in columns))
 
 
 def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
