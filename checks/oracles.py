@@ -419,6 +419,9 @@ LOADING = {
         ID_MATERIEL, ID_SITE, ID_DATE_ACHAT, MIN(load_order) AS load_order FROM materiel GROUP BY ALL""",
     "user_delta": _with(("event_log",))
     + _ranked("event_log", "user_id", _USER, "ingest_date, load_order DESC"),
+    "distinct_file_rows": _with(("raw_equipment",)) + """SELECT 'b' AS ID_MATERIELINFO, site_dir AS ID_PERSONNEL,
+        DATE_ACHAT, TYPE, MODELE, ingest_date, site_dir, min(load_order) AS load_order
+        FROM raw_equipment GROUP BY DATE_ACHAT, TYPE, MODELE, ingest_date, site_dir, right(PRENOM_PERSONNEL, 1)""",
     "repaired_user_deltas": _with(("event_log",))
     + _ranked("event_log", "user_id", _USER, "ingest_date, load_order DESC"),
     "user_delta_of_days": _with(("event_log",)) + f"""SELECT ingest_date, load_order, {_USER}

@@ -32,6 +32,7 @@ from sootledger.functions import (
 )
 from sootledger.operators import aggregates, contract, filters, joins, ranking, sets
 from sootledger.plans import enrich, loading, panels, quality, questions
+from sootledger.sources.drops import dedupe_file_rows
 from sootledger.sources.references import band_factors, clean_distances, split_impacts
 from sootledger.sources.warehouse import days_of, rebuild_from_days
 
@@ -245,6 +246,15 @@ def clean_equipment(spark, sf_dir):
     return _materiel_log(spark, sf_dir)
 
 
+@query
+def distinct_file_rows(spark, sf_dir):
+    """Purchases without their own number: rows of a file that then are equal become one."""
+    raw = frame(spark, sf_dir, "raw_equipment").withColumn("ID_MATERIELINFO", F.lit("b"))
+    raw = raw.withColumn("PRENOM_PERSONNEL", F.substring("PRENOM_PERSONNEL", -1, 1))
+    raw = raw.withColumn("ID_PERSONNEL", F.col("site_dir")).withColumn("NOM_PERSONNEL", F.lit(None).cast("string"))
+    return dedupe_file_rows(raw, domain.EQUIPMENT_COLUMNS)
+
+
 @query
 def transport_factors(spark, sf_dir):
     df = band_factors(frame(spark, sf_dir, "transports"), frame(spark, sf_dir, "cars"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ def row_position(block_start: Column) -> Column:
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     sep: str,
     schema: T.StructType | None = None,
     glob: str | None = None,
@@ -52,6 +54,26 @@ def read_delimited(
     return reader.csv(path)
 
 
+def folders_below(spark: SparkSession, root: str, wanted: Callable[[str], bool]) -> list[str]:
+    """Folders whose name is wanted, anywhere below a root; what lies in them is not listed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    found, level = [], [path] if fs.exists(path) else []
+    while level:
+        below = [f.getPath() for folder in level for f in fs.listStatus(folder) if f.isDirectory()]
+        found += [str(f) for f in below if wanted(f.getName())]
+        level = [f for f in below if not wanted(f.getName())]
+    return sorted(found)
+
+
+def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Those of some files that are there; each is asked for by name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    named = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return [str(p) for p in named if p.getFileSystem(conf).exists(p)]
+
+
 def or_empty(spark: SparkSession, read, schema: T.StructType) -> DataFrame:
     """Run a reader; an absent path gives an empty frame with the schema."""
     try:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sootledger.session import cut_lineage
 from sootledger.functions.numbers import to_number, to_tonnes
 
 
@@ -55,13 +56,14 @@ def matrix(
 ) -> DataFrame:
     """Cross table of sums, 0 where empty; rows and columns with a NULL key are left out.
 
-    One extra job finds the column values. Those listed in ``columns`` come first and
-    always, all others follow in order: nothing is lost.
+    The input is summed once; the column values are read from the stored sums. Those listed in ``columns``
+    come first and always, all others follow in order: nothing is lost.
     """
     filled = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
     listed = list(columns or [])
-    found = sorted(r[0] for r in filled.select(column).distinct().collect())
-    pivoted = filled.groupBy(row).pivot(column, listed + [c for c in found if c not in listed])
+    sums = cut_lineage(filled.groupBy(row, column).agg(F.sum(value).alias(value)))
+    found = sorted(r[0] for r in sums.select(column).distinct().collect())
+    pivoted = sums.groupBy(row).pivot(column, listed + [c for c in found if c not in listed])
     return pivoted.agg(F.sum(value)).na.fill(0.0)
 
 

@@ -13,6 +13,7 @@ from sootledger.functions.geo import geodesic_km, haversine_km
 from sootledger.functions.numbers import half_even, to_number
 from sootledger.functions.text import (
     blank_to_null,
+    clean_name,
     is_default_model,
     return_multiplier,
     site_of,
@@ -20,7 +21,7 @@ from sootledger.functions.text import (
     translate_values,
     transport_code,
 )
-from sootledger.operators.contract import as_null, keep_columns, rename
+from sootledger.operators.contract import as_null, clean_header, keep_columns, rename
 from sootledger.operators.joins import (
     append_reference,
     band_lookup,
@@ -37,7 +38,9 @@ ENDS = [("VILLE_DEPART", "PAYS_DEPART"), ("VILLE_DESTINATION", "PAYS_DESTINATION
 
 def _kept(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct file rows with the kept columns; an absent one is reported and NULL."""
-    df, missing = keep_columns(dedupe_file_rows(raw), columns, schemas.LINEAGE)
+    raw = clean_header(raw)
+    rows = dedupe_file_rows(raw, [clean_name(c) for c in columns])
+    df, missing = keep_columns(rows, columns, schemas.LINEAGE)
     return as_null(df, missing)
 
 
@@ -130,9 +133,18 @@ def add_distance(trips: DataFrame, distances: DataFrame) -> DataFrame:
     return lookup(trips, distances, domain.DISTANCE_KEYS)
 
 
+def distinct_trip_rows(raw: DataFrame) -> DataFrame:
+    """Distinct file rows of trips with the columns that go on."""
+    return _kept(raw, domain.TRIP_COLUMNS)
+
+
 def clean_trips(raw: DataFrame, distances: DataFrame, bands: DataFrame) -> DataFrame:
     """Raw trip rows with lineage to rows of FAIT_MISSION plus DIM_MISSION."""
-    df = _kept(raw, domain.TRIP_COLUMNS)
+    return clean_trip_rows(distinct_trip_rows(raw), distances, bands)
+
+
+def clean_trip_rows(df: DataFrame, distances: DataFrame, bands: DataFrame) -> DataFrame:
+    """Distinct trip rows to rows of FAIT_MISSION plus DIM_MISSION."""
     df = df.withColumns({c: translate_values(c) for c in ("TYPE_MISSION", "TRANSPORT")})
     df = df.withColumn("DATE_MISSION", to_day("DATE_MISSION"))
     df = trip_impact(add_distance(df, distances), bands)

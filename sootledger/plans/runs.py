@@ -8,31 +8,32 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sootledger import domain, schemas
-from sootledger.files import or_empty
 from sootledger.operators.contract import conform
 from sootledger.operators.ranking import last_per_key
 from sootledger.plans.enrich import (
     clean_equipment,
-    clean_trips,
-    complete_distances,
+    clean_trip_rows,
     distance_reference,
+    distinct_trip_rows,
     missing_distances,
     personnel_dimension,
 )
 from sootledger.plans.loading import repaired_deltas
-from sootledger.session import tune
+from sootledger.session import cut_lineage, tune
 from sootledger.sinks.ledger import (
     Days,
     Layout,
     append_distances,
+    delete_folders,
     files_of,
+    fold_distances,
     last_complete,
     publish,
     read_changes,
     record_change,
+    stored_distances,
     write_days,
 )
 from sootledger.sinks.published import Part, bucket_of, read_listing, read_parts
@@ -91,13 +92,13 @@ def read_references(spark: SparkSession, paths: Mapping[str, str]) -> References
 
 
 def with_stored_distances(spark: SparkSession, layout: Layout, refs: References) -> References:
-    """References completed with the distances that earlier loads computed."""
-    schema = T.StructType(list(schemas.DISTANCE_REFERENCE.fields))
-    schema = schema.add("added_at", "timestamp").add("load", "string")
-    stored = or_empty(spark, lambda: spark.read.schema(schema).parquet(layout.distances), schema)
-    stored = last_per_key(stored, domain.DISTANCE_KEYS, ["added_at", "load"])
-    stored = stored.drop("added_at", "load")
-    return replace(refs, distances=complete_distances(refs.distances, stored))
+    """References completed with the distances that earlier loads computed, which count before those given."""
+    given = refs.distances.withColumns(
+        {"added_at": F.lit(None).cast("timestamp"), "load": F.lit(None).cast("string")}
+    )
+    every = stored_distances(spark, layout).unionByName(given)
+    newest = last_per_key(every, domain.DISTANCE_KEYS, ["added_at", "load"])
+    return replace(refs, distances=newest.drop("added_at", "load"))
 
 
 def build_distances(
@@ -115,15 +116,22 @@ def load_trips(
 
     ``days`` are all days that ``raw`` covers: what the log holds of them and ``raw`` does not is removed.
 
-    The stored table, not the plan that computed it, feeds the join: its size is
-    known to Catalyst and a lost executor does not recompute it.
+    One scan of the text lands the distinct rows, without names, as Parquet; distances and cleaning read that.
+    The stored distances, not the plan that computed them, feed the join: their size is
+    known to Catalyst and a lost executor does not recompute them.
     """
     record_change(spark, layout, "mission", days)
-    known = with_stored_distances(spark, layout, refs)
-    append_distances(missing_distances(raw, known.distances, refs.coordinates), layout, load)
-    known = with_stored_distances(spark, layout, refs)
-    trips = clean_trips(raw, known.distances, refs.bands)
+    landing = layout.landing(f"mission-{load}")
+    landed = distinct_trip_rows(raw)
+    landed.write.mode("overwrite").parquet(landing)
+    rows = spark.read.schema(landed.schema).parquet(landing)
+    known = cut_lineage(with_stored_distances(spark, layout, refs).distances)
+    added = append_distances(missing_distances(rows, known, refs.coordinates), layout, load)
+    distances = known.filter(F.col("DISTANCE_KM").isNotNull()).unionByName(added.select(*known.columns))
+    trips = clean_trip_rows(rows, distances, refs.bands)
     write_days(trips, layout.log("mission"), LOG_PARTITIONS, _covered(spark, layout, "mission", days))
+    delete_folders(spark, [landing])
+    fold_distances(spark, layout)
 
 
 def load_equipment(layout: Layout, raw: DataFrame, refs: References, days: Days) -> None:

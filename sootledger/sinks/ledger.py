@@ -4,9 +4,11 @@ log/<table>/ingest_date=…/site_dir=…   cleaned rows, one partition per drop
 delta/<table>/ingest_date=…            what a day added
 snapshot/<table>/v=N                   full tables, never overwritten once published
 manifest/                              which snapshot a label (init, latest, final) means
+landing/…                              rows of a load that is running
 inventory/<kind>                       drop files as the stream loaded them
 changes/<kind>, published/             days that loads may have changed; the last one a version includes
-distances/load=…                       city-pair distances, appended
+distances/load=…                       city-pair distances that loads added
+distances_folded/v=N, pointer          the newest row of each pair, once many loads have added some
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sootledger import schemas
+from sootledger.domain import DISTANCE_KEYS
 from sootledger.files import CSV_WRITE_OPTIONS, or_empty
+from sootledger.operators.ranking import last_per_key
 from sootledger.sinks.published import Part, write_listing, write_parts
 
 MANIFEST = T.StructType(
@@ -42,6 +47,9 @@ CHANGES = T.StructType(
         T.StructField("seq", T.LongType()),
     ]
 )
+DISTANCES = T.StructType(list(schemas.DISTANCE_REFERENCE.fields))
+DISTANCES = DISTANCES.add("added_at", "timestamp").add("load", "string")
+FOLD = 16  # loads that add distances before they are folded
 
 
 @dataclass(frozen=True)
@@ -67,6 +75,9 @@ class Layout:
     def manifest(self) -> str:
         return f"{self.root}/manifest"
 
+    def landing(self, load: str) -> str:
+        return f"{self.root}/landing/{load}"
+
     def inventory(self, kind: str) -> str:
         return f"{self.root}/inventory/{kind}"
 
@@ -81,6 +92,10 @@ class Layout:
     def distances(self) -> str:
         return f"{self.root}/distances"
 
+    @property
+    def folded(self) -> str:
+        return f"{self.root}/distances_folded"
+
 
 def files_of(spark: SparkSession, path: str, schema: T.StructType, rows: Column) -> set[str]:
     """Files below a path that hold rows under a condition (names only, for partitions a load covers)."""
@@ -93,11 +108,11 @@ def files_of(spark: SparkSession, path: str, schema: T.StructType, rows: Column)
     return {r["file"] for r in listed.collect()}
 
 
-def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
-    """Remove folders of a table, named by URI; one that is gone already is no error."""
+def delete_folders(spark: SparkSession, folders: Iterable[str], encoded: bool = False) -> None:
+    """Remove folders of a table, ``encoded`` as Spark names files; one that is gone already is no error."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for folder in sorted(folders):
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder) if encoded else folder)
         path.getFileSystem(conf).delete(path, True)
 
 
@@ -125,7 +140,7 @@ def write_days(
         .parquet(path)
     )
     if before:
-        delete_folders(df.sparkSession, {f.rsplit("/", 1)[0] for f in before & covered()})
+        delete_folders(df.sparkSession, {f.rsplit("/", 1)[0] for f in before & covered()}, encoded=True)
 
 
 def read_manifest(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -226,17 +241,62 @@ def last_complete(spark: SparkSession, layout: Layout) -> tuple[int, dict[str, s
     return (newest[0]["seen"], {r["table"]: r["path"] for r in newest}) if newest else None
 
 
-def append_distances(df: DataFrame, layout: Layout, load: str, refresh: bool = False) -> None:
-    """Add distance rows under a load label; readers take the newest row of a pair.
+def append_distances(
+    df: DataFrame, layout: Layout, load: str, refresh: bool = False
+) -> DataFrame:
+    """Add distance rows under a load label, and return them as they are stored.
 
-    Rows are appended, never replaced: a load that runs again brings only the
+    Readers take the newest row of a pair. Rows are appended, never replaced: a load that runs again brings only the
     pairs it still lacked. ``refresh`` replaces the rows of the label instead.
     """
-    rows = df.withColumn("added_at", F.current_timestamp()).withColumn("load", F.lit(load))
+    stamp = dt.datetime.now(dt.timezone.utc)
+    rows = df.withColumn("added_at", F.lit(stamp)).withColumn("load", F.lit(load))
     if refresh:
         write_days(rows, layout.distances, ("load",))
     else:
         rows.write.mode("append").partitionBy("load").parquet(layout.distances)
+    stored = added_distances(df.sparkSession, layout)
+    return stored.filter((F.col("load") == load) & (F.col("added_at") == F.lit(stamp)))
+
+
+def added_distances(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Rows of loads that are not folded yet."""
+    return or_empty(spark, lambda: spark.read.schema(DISTANCES).parquet(layout.distances), DISTANCES)
+
+
+def stored_distances(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The folded distances and what loads added since; a pair can have several rows."""
+    added, version = added_distances(spark, layout), _fold_version(spark, layout)
+    if not version:
+        return added
+    folded = spark.read.schema(DISTANCES).parquet(f"{layout.folded}/v={version}")
+    return folded.unionByName(added)
+
+
+def _fold_version(spark: SparkSession, layout: Layout) -> int:
+    schema = T.StructType([T.StructField("version", T.LongType())])
+    pointer = or_empty(spark, lambda: spark.read.schema(schema).json(f"{layout.folded}/pointer"), schema)
+    return pointer.agg(F.max("version")).first()[0] or 0
+
+
+def fold_distances(spark: SparkSession, layout: Layout, least: int = FOLD) -> bool:
+    """Once so many loads have added rows, write the newest row of each pair as one table and point to it.
+
+    What is folded is removed after the pointer is written, so a run that dies in between leaves rows twice,
+    which readers do not notice. One version before the new one stays for those who are reading it.
+    """
+    folders = {f.rsplit("/", 1)[0] for f in files_of(spark, layout.distances, DISTANCES, F.lit(True))}
+    if len(folders) < max(least, 1):
+        return False
+    version = _fold_version(spark, layout)
+    newest = last_per_key(stored_distances(spark, layout), DISTANCE_KEYS, ["added_at", "load"])
+    newest.hint("rebalance").write.mode("overwrite").parquet(f"{layout.folded}/v={version + 1}")
+    pointer = spark.createDataFrame([(version + 1,)], "version long")
+    pointer.coalesce(1).write.mode("append").json(f"{layout.folded}/pointer")
+    delete_folders(spark, folders, encoded=True)
+    if version > 1:
+        delete_folders(spark, [f"{layout.folded}/v={version - 1}"])
+    return True
 
 
 def export_csv(df: DataFrame, path: str, by_day: bool = False) -> None:

@@ -10,6 +10,7 @@ sites that are not listed are not loaded.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,7 @@ from sootledger import domain, schemas
 from sootledger.functions.dates import day_of_file
 from sootledger.functions.text import na_to_null, strip
 from sootledger.operators.ranking import listed_rank
-from sootledger.files import read_delimited, row_position
+from sootledger.files import existing, folders_below, read_delimited, row_position
 
 TRIP_GLOB = "MISSION_*.txt"
 EQUIPMENT_GLOB = "MATERIEL_INFORMATIQUE_*.txt"
@@ -28,6 +29,9 @@ PERSONNEL_GLOB = "PERSONNEL_*.txt"
 
 _ROWS_PER_SITE_BITS = 50
 
+# Up to so many days, files are asked for by name; beyond, the whole tree is listed.
+ADDRESSED = 7
+
 
 def site_dir_of(path: Column | str) -> Column:
     """Site code in the folder of a daily file or in the name of a personnel file."""
@@ -76,10 +80,18 @@ def with_lineage(
     return df.drop("_path", "_file", "_start")
 
 
-def dedupe_file_rows(df: DataFrame) -> DataFrame:
-    """Exact duplicates inside one file become one row, at the first one's place."""
+def dedupe_file_rows(df: DataFrame, kept: Sequence[str] | None = None) -> DataFrame:
+    """Exact duplicates inside one file become one row, at the first one's place.
+
+    ``kept`` names the columns that go on, lineage aside. The others count for equality only: a digest of them
+    goes through the shuffle, not the names of people.
+    """
     keys = [c for c in df.columns if c != "load_order"]
-    return df.groupBy(*keys).agg(F.min("load_order").alias("load_order"))
+    rest = [c for c in keys if kept is not None and c not in kept and c not in schemas.LINEAGE]
+    if rest:
+        keys = [c for c in keys if c not in rest] + ["_rest"]
+        df = df.withColumn("_rest", F.unhex(F.sha2(F.to_json(F.struct(*rest)), 256)))
+    return df.groupBy(*keys).agg(F.min("load_order").alias("load_order")).drop("_rest")
 
 
 def no_value_to_null(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -87,9 +99,27 @@ def no_value_to_null(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.withColumns({c: na_to_null(c) for c in columns})
 
 
+def addressed(
+    spark: SparkSession, root: str, glob: str, days: Sequence[dt.date], sites: Sequence[str]
+) -> list[str]:
+    """The files of some days and sites, by their names: only folders above the daily ones are listed."""
+    kind = "MISSION" if glob == TRIP_GLOB else "INFORMATIQUE"
+    folder = re.compile(rf"(.*_)?({'|'.join(map(re.escape, sites))})_{kind}")
+    folders = folders_below(spark, root, lambda name: bool(folder.fullmatch(name)))
+    return existing(spark, (f"{f}/{glob.replace('*', day.strftime('%Y%m%d'))}" for f in folders for day in days))
+
+
 def _read_daily(spark, root, schema, glob, start, end, sites, header, days) -> DataFrame:
     layout = T.StructType([T.StructField(c, T.StringType()) for c in header]) if header else schema
-    df = drop_stream_columns(read_delimited(spark, root, ";", layout, glob))
+    if days is None and start and end and (end - start).days < ADDRESSED:
+        days = [start + dt.timedelta(k) for k in range((end - start).days + 1)]
+    if days is None or len(days) > ADDRESSED:
+        df = drop_stream_columns(read_delimited(spark, root, ";", layout, glob))
+    elif paths := addressed(spark, root, glob, days, sites):
+        df = drop_stream_columns(read_delimited(spark, paths, ";", layout))
+    else:
+        placed = T.StructType(list(layout.fields)).add("_path", "string").add("_file", "string").add("_start", "long")
+        df = spark.createDataFrame([], placed)
     return no_value_to_null(with_lineage(df, sites, start, end, days), schema)
 
 
@@ -141,6 +171,6 @@ def read_personnel_drops(
 def read_trip_places(spark: SparkSession, root: str) -> DataFrame:
     """The four place columns of every trip file; it is an error when there is none."""
     df = read_delimited(spark, root, ";", schemas.RAW_TRIP, TRIP_GLOB)
-    if df.isEmpty():
+    if not df.inputFiles():
         raise FileNotFoundError(f"no trip file below {root}")
     return df.select(*[strip(na_to_null(c)).alias(c) for c in domain.DISTANCE_KEYS])
