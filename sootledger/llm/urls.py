@@ -97,7 +97,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
 
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
-    return judge(pages, spark.createDataFrame(RULES, "host string, path string, verdict string"))
+    listed = F.array(*(F.struct(*map(F.lit, rule)) for rule in RULES))
+    rules = spark.range(0, 1, 1, 1).select(F.inline(listed).alias("host", "path", "verdict"))
+    return judge(pages, rules)
 
 
 OP4_SQL = r"""
