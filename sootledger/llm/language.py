@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sootledger.llm.shared import bounded_sample, documents, held_out
+from sootledger.llm.shared import bounded_sample, column_named, documents, held_out, packed, unpacked
 
 LONGEST = 4  # n-grams of one to four bytes
 BITS = 14
@@ -129,37 +129,41 @@ def train(texts: list[str], labels: list[str], landmarks: int = 320, ridge: floa
     return Model(languages, (marks.T @ (root @ solved)).astype(np.float32), level - mean @ solved)
 
 
-def fit(docs: DataFrame, per_language: int = 300, max_bytes: int = 20_000) -> Model:
-    """Learn from at most `per_language` documents of each language of at most `max_bytes` bytes.
+def fit(docs: DataFrame, per_language: int = 300, most_bytes: int = 2_000_000) -> Model:
+    """Learn from at most `per_language` documents of each language, of at most `most_bytes` bytes together.
 
+    Of the chosen ones shorter ones come first; a language of long texts only is learned from its shortest.
     Rows with NULL text or language, and held-out rows, are never looked at.
     """
     rows = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.where(F.octet_length("text") <= max_bytes).select("doc_id", "lang", "text")
-    sample = bounded_sample(rows, "lang", "doc_id", per_language)
+    sample = bounded_sample(rows.select("doc_id", "lang", "text"), "lang", "doc_id", per_language, "text", most_bytes)
     return train([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add lang_pred and score. NULL texts and texts without any letter are 'und' with score 0."""
+    """Add lang_pred and score, in place of columns of these names; all others stay, whatever their names.
+
+    NULL texts and texts without any letter are 'und' with score 0.
+    """
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(column: pd.Series) -> pd.DataFrame:
         names, score = model.predict(column.tolist())
         return pd.DataFrame({"lang_pred": names, "score": score})
 
-    return docs.withColumn("_found", predict(text)).withColumns(
-        {"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}
-    ).drop("_found")
+    columns = docs.drop("lang_pred", "score").columns
+    return docs.select(packed(columns).alias("_row"), predict(column_named(text)).alias("_found")).select(
+        *unpacked(columns), "_found.lang_pred", "_found.score"
+    )
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
     """The documents whose language is recognised with at least the given score, all columns as they were."""
     columns = docs.columns
-    prepared = docs.withColumn("_text", F.col("text")).select("_text", F.struct(*columns).alias("_row"))
+    prepared = docs.select(F.col("text").alias("_text"), packed(columns).alias("_doc"))
     judged = identify(prepared, model, "_text")
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(
-        *(F.col("_row").getField(c).alias(c) for c in columns)
+        *unpacked(columns, "_doc")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sootledger.llm.shared import cut, documents, running_start, unit_hash, words
+from sootledger.llm.shared import cut, documents, packed, row_hash, running_start, unit_hash, unpacked, words
 
 SHARE = 1.5
 MOST = 2.0
@@ -78,21 +78,21 @@ def sized(docs: DataFrame, *more: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """Every document as often as the mix takes it: none, one or two rows; all columns stay.
+    """Every document as often as the mix takes it: none, one or two rows; all columns stay, whatever their names.
 
     Repeated rows of one id and text count as one document that is that many times as long a run.
     NULL texts have size 0 and are taken like others; NULL sources are a source of their own.
     """
     columns = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(*columns))
-    sizes = cut(sized(marked, "_row"))
+    marked = docs.select("doc_id", "source", "text", row_hash(docs).alias("_hash"), packed(columns).alias("_row"))
+    sizes = cut(sized(marked, "_hash"))
     taken = systematic_copies(sizes, targets(sizes))
-    taken = taken.groupBy("doc_id", "_row").agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_times"))
-    taken = taken.where("_all > 0").select(F.col("doc_id").alias("_id"), F.col("_row").alias("_r"), "_all", "_times")
-    out = marked.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r")))
+    taken = taken.groupBy("doc_id", "_hash").agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("_times"))
+    taken = taken.where("_all > 0").select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), "_all", "_times")
+    out = marked.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")))
     if not taken.where("_times > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id", "_row"])
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_all"))).select(*columns)
+        out = out.dropDuplicates(["doc_id", "_hash"])
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_all"))).select(*unpacked(columns))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

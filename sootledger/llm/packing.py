@@ -20,11 +20,13 @@ def projection(seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(HASHED, DIMENSIONS))
 
 
-def hashed_vector(ids: np.ndarray) -> np.ndarray:
-    """Counts of token ids in hashed places, of length one."""
-    places = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 9)
-    counts = np.bincount(places.astype(np.int64), minlength=HASHED).astype(np.float64)
-    return counts / max(np.sqrt((counts * counts).sum()), 1.0)
+def hashed_vectors(ids: list[np.ndarray]) -> np.ndarray:
+    """For each document its counts of token ids in hashed places, of length one."""
+    places = (np.concatenate(ids).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 9)
+    owner = np.repeat(np.arange(len(ids)), [len(a) for a in ids])
+    counts = np.bincount(owner * HASHED + places.astype(np.int64), minlength=len(ids) * HASHED)
+    counts = counts.reshape(len(ids), HASHED).astype(np.float64)
+    return counts / np.maximum(np.sqrt((counts * counts).sum(axis=1, keepdims=True)), 1.0)
 
 
 def hilbert_key(points: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -64,7 +66,7 @@ def tokens_with_key(docs: DataFrame, path: str, end_id: int) -> DataFrame:
         for batch in batches:
             for first, ids in encoded(batch.column("text"), path, end_id):
                 arrays = [np.frombuffer(b, dtype="<u4") for b in ids]
-                spots = np.array([hashed_vector(a) for a in arrays]) @ grid
+                spots = hashed_vectors(arrays) @ grid
                 cells = np.clip((spots + 3) / 6 * top, 0, top).astype(np.int64)
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sootledger.llm.shared import bounded_sample, documents, held_out
+from sootledger.llm.shared import bounded_sample, column_named, documents, held_out, packed, unpacked
 
 TERMS = 1024
 LATENT = 32
@@ -129,25 +129,28 @@ def train(texts: list[bytes], labels: list[int]) -> Model:
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2500, max_bytes: int = 20_000) -> Model:
-    """Learn from at most `per_label` rows of each label, of at most `max_bytes` bytes each.
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2500, most_bytes: int = 20_000_000) -> Model:
+    """Learn from at most `per_label` rows of each label, of at most `most_bytes` bytes together, shorter ones first.
 
     Held-out rows, NULL labels and NULL texts are never looked at. Rows of an id with several labels
-    are all taken.
+    are all candidates; repeated labels of an id count once.
     """
     marked = labels.where(F.col("quality").isin(0, 1)).select("doc_id", "quality")
     # Sampled by id before the join: what meets the texts is at most two bounded sets of ids.
-    marked = marked.where(~held_out(F.col("doc_id")))
+    marked = marked.where(~held_out(F.col("doc_id"))).distinct()
     ids = bounded_sample(marked, "quality", "doc_id", per_label)
     wanted = marked.sparkSession.createDataFrame([(r[0], r[1]) for r in ids], "doc_id long, quality int")
-    short = docs.where(F.octet_length("text") <= max_bytes).select("doc_id", "text")
-    rows = short.join(F.broadcast(wanted), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    known = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+    rows = bounded_sample(known, "quality", "doc_id", per_label, "text", most_bytes)
+    rows.sort(key=lambda r: (r["doc_id"], r["text"], r["quality"]))
     return train([r["text"].encode() for r in rows], [r["quality"] for r in rows])
 
 
 def judged(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Add `score`, the neighbours' vote for good quality; NULL and empty texts count as empty."""
+    """Add `score`, the neighbours' vote for good quality, in place of a column of that name.
+
+    NULL and empty texts count as empty. All other columns stay as they were, whatever their names.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -163,7 +166,8 @@ def judged(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         out.append(shared.value.score(run))
         return pd.Series(np.concatenate(out))
 
-    return docs.withColumn("score", vote(text))
+    columns = docs.drop("score").columns
+    return docs.select(packed(columns).alias("_row"), vote(column_named(text)).alias("score")).select(*unpacked(columns), "score")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from itertools import accumulate
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,18 +70,55 @@ def unit_hash(*columns: Column) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
-def bounded_sample(rows: DataFrame, group: str, key: str, most: int) -> list:
-    """At most `most` rows of each value of a column of few values, chosen by hash of the key.
+def column_named(column: str) -> Column:
+    """A column by its exact name, whatever characters it has."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
-    The rows that come to the driver are bounded: the share taken follows from the group's count.
+
+def packed(columns: list[str]) -> Column:
+    """The caller's columns as one struct, so that no name of theirs meets one of the operator's."""
+    return F.struct(F.lit(True).alias("_is_row"), *(column_named(c).alias(c) for c in columns))
+
+
+def unpacked(columns: list[str], row: str = "_row") -> list[Column]:
+    """The columns of such a struct, as they were."""
+    return [F.col(row).getField(c).alias(c) for c in columns]
+
+
+def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """Hash of whole rows; maps, which have no hash of their own, count by their JSON."""
+    parts = []
+    for c in df.columns if columns is None else columns:
+        has_map = "map<" in df.schema[c].dataType.simpleString()
+        parts.append(F.to_json(F.struct(column_named(c).alias("c"))) if has_map else column_named(c))
+    return F.xxhash64(*parts)
+
+
+def bounded_sample(
+    rows: DataFrame, group: str, key: str, most: int, text: str | None = None, most_bytes: int | None = None
+) -> list:
+    """At most `most` rows of each value of a column of few values, chosen by hash of the key and the row.
+
+    With `text`, the rows of a value also have at most `most_bytes` bytes of it, the shortest of the
+    chosen ones first; the shortest always stays, so that no value is without rows. A share of the keys that
+    follows from their estimated number is taken by hash, and what it brings (more, where keys repeat) is
+    cut to the bound on the cluster: no more comes to the driver.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(group).count().collect()}
+    keys = {r[0]: r[1] for r in rows.groupBy(group).agg(F.approx_count_distinct(key, 0.02)).collect()}
     share = F.lit(0.0)
-    for value, n in counts.items():
-        share = F.when(F.col(group) == F.lit(value), F.lit(1.0 if n <= most else 1.05 * most / n)).otherwise(share)
-    picked = rows.where(unit_hash(F.lit("sample"), F.col(key)) < share).collect()
-    picked.sort(key=lambda r: (str(r[group]), str(r[key])))
-    return picked
+    for value, n in keys.items():
+        share = F.when(F.col(group) == F.lit(value), F.lit(1.0 if n <= most else min(1.0, 1.1 * most / n))).otherwise(share)
+    drawn = rows.where(unit_hash(F.lit("sample"), F.col(key)) < share)
+    chosen = W.partitionBy(group).orderBy(F.xxhash64(F.lit("sample"), F.col(key)), F.col(key), *drawn.columns)
+    picked = drawn.withColumn("_at", F.row_number().over(chosen)).where(F.col("_at") <= most)
+    if text is not None:
+        rising = W.partitionBy(group).orderBy(F.octet_length(text), "_at")
+        sums = F.sum(F.octet_length(text)).over(rising.rowsBetween(W.unboundedPreceding, 0))
+        picked = picked.withColumns({"_bytes": sums, "_first": F.row_number().over(rising) == 1})
+        picked = picked.where((F.col("_bytes") <= most_bytes) | F.col("_first")).drop("_bytes", "_first")
+    found = picked.drop("_at").collect()
+    found.sort(key=lambda r: (str(r[group]), str(r[key])))
+    return found
 
 
 def running_start(df: DataFrame, order: list, value: str, name: str = "start") -> DataFrame:
