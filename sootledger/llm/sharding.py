@@ -7,7 +7,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sootledger.llm.shared import cut, documents, running_start
+from sootledger.llm.shared import cut, documents, numbered, renamed, running_start
 
 SHARES = 1024
 
@@ -93,9 +93,13 @@ def shard_evenly(docs: DataFrame, shards: int = 24, rounds: int = 12) -> DataFra
 
     Rows that share a hub are linked and gather by label propagation, NULL hubs link nothing. What is
     above a shard's count after the last round, then the rows without links, fill the free slots of
-    all shards in order. `tie` is a hash that orders rows.
+    all shards in order. `tie` is a hash that orders rows. `shard` and `slot` come in place of columns of these
+    names; all others stay as they were, whatever their names.
     """
-    rows = cut(docs)
+    given = docs.drop("shard", "slot").columns
+    others = docs.drop("hub", "tie", "shard", "slot").columns
+    rows = cut(docs.select(*numbered(others), "hub", "tie"))
+    columns = rows.columns
     sizes = rows.where(F.col("hub").isNotNull()).groupBy("hub").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     total = rows.count()
     capacity = [total // shards + (s < total % shards) for s in range(shards)]
@@ -108,7 +112,6 @@ def shard_evenly(docs: DataFrame, shards: int = 24, rounds: int = 12) -> DataFra
     slot = F.col("_at") - F.get(F.array(*map(F.lit, begin)), F.col("shard"))
     first = first.withColumn("slot", slot)
     fits = F.col("slot") < F.get(F.array(*map(F.lit, capacity)), F.col("shard"))
-    columns = docs.columns
     rest = first.where(~fits).select(*columns, F.lit(0).alias("_free"), "_one").unionByName(
         known.where("members IS NULL").select(*columns, F.lit(1).alias("_free"), F.lit(1).cast("long").alias("_one"))
     )
@@ -119,7 +122,9 @@ def shard_evenly(docs: DataFrame, shards: int = 24, rounds: int = 12) -> DataFra
     rest = rest.withColumn("shard", chosen.cast("int"))
     shift = F.array(*(F.lit(h - b) for h, b in zip(held, holes)))
     rest = rest.withColumn("slot", F.col("_at") + F.get(shift, F.col("shard")))
-    return first.where(fits).select(*columns, "shard", "slot").unionByName(rest.select(*columns, "shard", "slot"))
+    placed = first.where(fits).select(*columns, "shard", "slot").unionByName(rest.select(*columns, "shard", "slot"))
+    own = dict(zip(others, renamed(others)))
+    return placed.select(*(own.get(c, c) for c in given), "shard", "slot")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -85,6 +85,16 @@ def unpacked(columns: list[str], row: str = "_row") -> list[Column]:
     return [F.col(row).getField(c).alias(c) for c in columns]
 
 
+def numbered(columns: list[str]) -> list[Column]:
+    """The caller's columns under names by place, so that joins and groups of the operator can name their own."""
+    return [column_named(c).alias(f"c{i}") for i, c in enumerate(columns)]
+
+
+def renamed(columns: list[str]) -> list[Column]:
+    """Such columns under their own names again."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(columns)]
+
+
 def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     """Hash of whole rows; maps, which have no hash of their own, count by their JSON."""
     parts = []

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sootledger.llm.shared import components, cut, documents
+from sootledger.llm.shared import column_named, components, cut, documents, numbered, renamed, row_hash
 
 BITS = 64
 TILE = 512
@@ -249,14 +249,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     `distance` bits, or with `similar` over texts whose sets of five-word shingles are that similar; it is
     named by its smallest id. NULL and empty texts have fingerprint zero and are
     linked like any other. Documents with a NULL id are linked too; a component of such
-    documents only has a NULL name. Repeated rows stay, each with its own row.
+    documents only has a NULL name. Repeated rows stay, each with its own row. `fp` and `component_id` come in
+    place of columns of these names; all others stay as they were, whatever their names.
     """
+    columns = docs.drop(text, "fp", "component_id").columns
+    rows = docs.select(*numbered(columns), column_named(id).alias("_id"), column_named(text).alias("text"))
     if similar is None:
-        marked = cut(fingerprints(docs, text, size))
+        marked = cut(fingerprints(rows, "text", size))
     else:
-        whole = fingerprints(docs.withColumn("_text", F.col(text)), text, size).withColumnRenamed("_text", "text")
+        whole = fingerprints(rows.withColumn("_text", F.col("text")), "text", size).withColumnRenamed("_text", "text")
         marked = cut(whole.drop("text"))
-    fps = cut(marked.groupBy("fp").agg(F.min(id).alias("_least")))
+    fps = cut(marked.groupBy("fp").agg(F.min("_id").alias("_least")))
     near = links(fps.select("fp"), distance)
     if similar is not None:
         near = near.unionByName(similar_links(whole.select("fp", "text"), similar))
@@ -264,7 +267,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     named = fps.join(roots, "fp", "left").withColumn("_root", F.coalesce("root", "fp"))
     names = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
     classes = cut(named.select("fp", "_root").join(names, "_root").select("fp", "component_id"))
-    return marked.join(classes, "fp")
+    return marked.join(classes, "fp").select(*renamed(columns), "fp", "component_id")
 
 
 def as_hex(fp: Column) -> Column:
@@ -274,21 +277,23 @@ def as_hex(fp: Column) -> Column:
 def keep_one(docs: DataFrame, size: int = 4, distance: int = 4, similar: float | None = None) -> DataFrame:
     """The documents without near duplicates: of each component, the one with the smallest id stays.
 
-    Where several rows have that id, the one with the smallest hash of all columns stays, once.
+    Where several rows have that id, the one with the smallest hash of all columns stays, once. All columns
+    stay as they were, whatever their names.
     """
     columns = docs.columns
-    rows = docs.withColumn("_row", F.xxhash64(*columns))
-    classes = near_duplicates(rows.select("doc_id", "text", "_row"), size=size, distance=distance, similar=similar)
+    # The hash comes last: Spark would infer a copy of it for each column named behind it.
+    rows = docs.select(*numbered(columns), F.col("doc_id").alias("_doc"), row_hash(docs).alias("_hash"))
+    slim = docs.select("doc_id", "text", row_hash(docs).alias("_hash"))
+    classes = near_duplicates(slim, size=size, distance=distance, similar=similar)
     kept = (
         classes.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_nameless"))
-        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("k"))
-        .select(F.col("k.doc_id").alias("_id"), F.col("k._row").alias("_row"))
+        .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_hash")).alias("k"))
+        .select(F.col("k.doc_id").alias("_id"), F.col("k._hash").alias("_h"))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_r"))
-    out = rows.join(kept.withColumnRenamed("_row", "_r"), same)
-    if not classes.groupBy("doc_id", "_row").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id", "_row"])
-    return out.select(*columns)
+    out = rows.join(kept, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")))
+    if not classes.groupBy("doc_id", "_hash").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["_doc", "_hash"])
+    return out.select(*renamed(columns))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sootledger.llm import language, mixing, quality, shared
+from sootledger.llm import language, mixing, quality, shared, sharding, simhash
 
 NAMES = ["_row", "_hash", "_text", "_id", "_found", "_doc", "_at", "_h", "fp", "component_id", "n_words", "kept", "members",
          "large", "score", "lang_pred", "shard", "slot", "a b.c"]
@@ -44,6 +44,29 @@ def test_added_columns_replace_those_of_their_name(spark, clashing):
     assert {r["lang_pred"] for r in rows} == {"en", "und"}
 
 
+@pytest.mark.parametrize("similar", [None, 0.8])
+def test_near_duplicates_leave_columns_alone(clashing, similar):
+    kept = simhash.keep_one(clashing, similar=similar)
+    assert kept.columns == clashing.columns
+    assert sorted(r["doc_id"] for r in _untouched(kept)) == [0, 1, 3]
+    found = simhash.near_duplicates(clashing, similar=similar)
+    rows = _untouched(found, ["fp", "component_id"])
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: 1 if i % 4 in (1, 2) else i % 4 for i in range(12)}
+
+
+def test_repeated_rows_with_columns_of_any_name_stay_once(clashing):
+    kept = simhash.keep_one(clashing.unionByName(clashing))
+    assert sorted(r["doc_id"] for r in _untouched(kept)) == [0, 1, 3]
+
+
+def test_shards_leave_columns_alone(clashing):
+    linked = clashing.withColumns({"hub": F.md5("text"), "tie": F.xxhash64("doc_id")})
+    out = sharding.shard_evenly(linked, 3)
+    assert set(out.columns) == set(linked.columns)
+    rows = _untouched(out, ["shard", "slot"])
+    assert sorted((r["shard"], r["slot"]) for r in rows) == [(s, i) for s in range(3) for i in range(4)]
+
+
 def test_sample_is_bounded_with_repeated_rows(spark):
     ids = spark.range(40).select((F.col("id") % 20).alias("k"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g"))
     rows = ids.crossJoin(spark.range(300).select()).withColumn("t", F.repeat(F.lit("x"), F.col("k").cast("int")))
