@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from sootledger.llm.shared import bounded_sample, column_named, documents, held_out, packed, unpacked
 
 TERMS = 1024
+WORDS = 2048
 LATENT = 32
 NEIGHBOURS = 25
 BLOCK = 1024
 REPEATS = 4
+WIDTH = TERMS + REPEATS + WORDS
 # Classes of bytes: letters of either case, digits, white space; other ASCII stands for itself.
 _KIND = bytes(
     ord("a") if c >= 0x80 or chr(c).islower()
@@ -29,26 +31,24 @@ _KIND = bytes(
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _unit_hashes(data: np.ndarray, starts: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """One hash for each run of bytes that begins at `starts`; `inside`: place within its run."""
-    mixed = (data.astype(np.uint64) + np.uint64(1)) * _ODD
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= 2 * inside.astype(np.uint64) + np.uint64(0xBF58476D1CE4E5B9)
-    return np.add.reduceat(mixed, starts) if len(starts) else np.zeros(0, np.uint64)
-
-
-def _repeats(data: np.ndarray, breaks: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of units (runs between breaks) equal to the unit before, and equal to any earlier one."""
+def _units(data: np.ndarray, breaks: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One hash for each unit (run of bytes between breaks, within one text), and the text it belongs to."""
     held = ~breaks
     begins = held.copy()
     begins[1:] &= breaks[:-1] | (owner[1:] != owner[:-1])
     starts = np.flatnonzero(begins)
     if len(starts) == 0:
-        return np.zeros(n), np.zeros(n)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     before = np.zeros(starts[0], np.int64)
     inside = np.arange(len(data)) - np.concatenate([before, np.repeat(starts, np.diff(starts, append=len(data)))])
-    hashes = _unit_hashes(np.where(held, data, 0), starts, np.where(held, inside, 0))
-    of = owner[starts]
+    mixed = (data.astype(np.uint64) + np.uint64(1)) * _ODD
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= 2 * inside.astype(np.uint64) + np.uint64(0xBF58476D1CE4E5B9)
+    return np.add.reduceat(np.where(held, mixed, np.uint64(0)), starts), owner[starts]
+
+
+def _repeats(hashes: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of units equal to the unit before, and equal to any earlier one."""
     count = np.maximum(np.bincount(of, minlength=n), 1)
     next_same = (hashes[1:] == hashes[:-1]) & (of[1:] == of[:-1])
     order = np.lexsort((hashes, of))
@@ -56,11 +56,23 @@ def _repeats(data: np.ndarray, breaks: np.ndarray, owner: np.ndarray, n: int) ->
     return np.bincount(of[1:][next_same], minlength=n) / count, np.bincount(of[order][1:][again], minlength=n) / count
 
 
+def _wording(hashes: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Shares of hashed words and of hashed pairs of neighbouring words."""
+    beside = of[1:] == of[:-1]
+    pairs = hashes[:-1] * np.uint64(31) + hashes[1:] * _ODD
+    found = np.concatenate([hashes * _ODD, (pairs * np.uint64(0xBF58476D1CE4E5B9))[beside]])
+    owners = np.concatenate([of, of[1:][beside]])
+    place = (found >> np.uint64(64 - (WORDS - 1).bit_length())).astype(np.int64)
+    counts = np.bincount(owners * WORDS + place, minlength=n * WORDS).reshape(n, WORDS)
+    return counts / np.maximum(np.bincount(owners, minlength=n), 1)[:, None]
+
+
 def terms(texts: list[bytes]) -> np.ndarray:
-    """One row per text: shares of hashed n-grams of character classes, and shares of repeated words and lines."""
+    """One row per text: shares of hashed n-grams of character classes, of repeated words and lines, and of
+    hashed words and word pairs, ASCII letters in lower case."""
     n = len(texts)
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    out = np.zeros((n, TERMS + REPEATS), dtype=np.float32)
+    out = np.zeros((n, WIDTH), dtype=np.float32)
     raw = b"".join(texts)
     if not raw:
         return out
@@ -83,8 +95,10 @@ def terms(texts: list[bytes]) -> np.ndarray:
     out[:, :TERMS] = np.sqrt(counts.reshape(n, TERMS) / np.maximum(total, 1)[:, None])
     space = (kinds == 32) | (kinds == 10)
     for at, breaks in ((TERMS, space), (TERMS + 2, kinds == 10)):
-        beside, ever = _repeats(data, breaks, owner, n)
+        beside, ever = _repeats(*_units(data, breaks, owner), n)
         out[:, at], out[:, at + 1] = np.sqrt(beside), np.sqrt(ever)
+    small = np.frombuffer(raw.lower(), np.uint8)
+    out[:, TERMS + REPEATS :] = np.sqrt(_wording(*_units(small, space, owner), n))
     return out
 
 
@@ -119,7 +133,7 @@ class Model:
 def train(texts: list[bytes], labels: list[int]) -> Model:
     seen = np.concatenate([terms(texts[i : i + BLOCK]) for i in range(0, len(texts), BLOCK)] or [terms([])])
     if len(texts) == 0:
-        return Model(np.zeros(TERMS + REPEATS, np.float32), np.zeros((TERMS + REPEATS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
+        return Model(np.zeros(WIDTH, np.float32), np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
     idf = np.log((1 + len(seen)) / (1 + (seen > 0).sum(axis=0))).astype(np.float32) + 0.2
     weighted = seen * idf
     _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))

@@ -253,6 +253,29 @@ def test_quality_does_not_depend_on_company():
     assert np.allclose(alone, quality.terms(texts), atol=1e-6)
 
 
+def test_quality_equals_all_cosines(spark):
+    """Every document beside every labelled vector, one by one."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    model = quality.fit(documents, spark.read.parquet(f"{SF}/labels.parquet"))
+    got = {r["doc_id"]: r["score"] for r in quality.judged(documents, model).collect()}
+    for i, text in documents.select("doc_id", "text").collect():
+        own = (quality.terms([(text or "").encode()])[0] * model.idf) @ model.directions
+        size = np.sqrt(sum(float(x) ** 2 for x in own))
+        votes = sorted(((float(v @ own) / max(size, 1e-9), y) for v, y in zip(model.vectors, model.labels)), reverse=True)
+        near = [(max(c, 1e-3) ** 16, y) for c, y in votes[: quality.NEIGHBOURS]]
+        assert got[i] == pytest.approx(sum(w * y for w, y in near) / sum(w for w, _ in near), abs=2e-3)
+
+
+def test_quality_sees_words():
+    one, two = quality.terms([b"the cat sat on the mat", b"xqz kvw xpz jq xqz bvk"])
+    layout = quality.TERMS + quality.REPEATS
+    assert np.allclose(one[: quality.TERMS], two[: quality.TERMS]) and not np.allclose(one[layout:], two[layout:])
+    again, spaced = quality.terms([b"The CAT sat on the mat", b" the  cat\nsat on\tthe mat"])
+    assert np.array_equal(one[layout:], again[layout:]) and np.array_equal(one[layout:], spaced[layout:])
+    # Six words and five pairs, each a share; "the" twice, every other one once.
+    assert sorted(np.round(one[layout:][one[layout:] > 0] ** 2 * 11).astype(int)) == [1] * 9 + [2]
+
+
 def test_language_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
@@ -280,6 +303,37 @@ def test_language_equals_kernel_expansion():
     assert [model.languages[k] for k in alone.argmax(axis=1)][:3] == ["en", "fr", "de"]
 
 
+def test_language_equals_dual_regression():
+    """Kernel ridge regression in its dual form, over kernels of n-gram sets held one by one."""
+    texts = ["the cat sat on the mat", "le chat est sur la table", "die katze sitzt dort", "a dog and the cat", "la mer et le chat", "und der hund"]
+    names = ["en", "fr", "de", "en", "fr", "de"]
+    asked = [*texts, "the sea", "der chat", "zzz qqq"]
+
+    def grams(text):
+        data, found = language.folded(text) + language.PAD, set()
+        for n in range(1, 5):
+            for i in range(len(data) - 3):
+                code = int.from_bytes(data[i : i + n], "little")
+                found.add(((code * 2654435761 + n * 0x9E3779B9) % 2**32) >> 18)
+        return found
+
+    def kernel(some, others):
+        return np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in others] for a in some])
+
+    sets = [grams(t) for t in texts]
+    inside = np.linalg.pinv(kernel(sets, sets), rcond=1e-6, hermitian=True)
+    known = kernel(sets, sets) @ inside @ kernel(sets, sets)
+    centre = np.eye(6) - 1 / 6
+    languages = sorted(set(names))
+    wanted = np.array([[n == k for k in languages] for n in names], dtype=float)
+    alpha = np.linalg.solve(centre @ known @ centre + 1e-2 * 6 / 10 * np.eye(6), wanted - wanted.mean(axis=0))
+    met = kernel([grams(t) for t in asked], sets) @ inside @ kernel(sets, sets)
+    want = wanted.mean(axis=0) + (met - known.mean(axis=0)) @ centre @ alpha
+    model = language.train(texts, names)
+    assert model.languages == languages
+    assert np.allclose(model.scores(asked), want, atol=1e-3)
+
+
 def test_mixing_targets(spark):
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 30):
