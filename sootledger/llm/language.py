@@ -157,14 +157,19 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
-    """The documents whose language is recognised with at least the given score, all columns as they were."""
+def accepted(docs: DataFrame, model: Model, least: float = 0.5, long: int = 200) -> DataFrame:
+    """The documents whose language is recognised, all columns as they were.
+
+    A score counts by how far it is from an even share to one: `least` is asked of texts of `long` characters
+    or more, and so of those that are as much in one language as in another. Shorter texts show too few n-grams
+    for that and need only a letter. With one learned language nothing else can go.
+    """
+    even = 1 / max(len(model.languages), 1)
     columns = docs.columns
     prepared = docs.select(F.col("text").alias("_text"), packed(columns).alias("_doc"))
     judged = identify(prepared, model, "_text")
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(
-        *unpacked(columns, "_doc")
-    )
+    sure = (F.char_length("_text") < long) | (F.col("score") >= even + least * (1 - even))
+    return judged.where((F.col("lang_pred") != "und") & sure).select(*unpacked(columns, "_doc"))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:

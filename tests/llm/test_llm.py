@@ -334,6 +334,28 @@ def test_language_equals_dual_regression():
     assert np.allclose(model.scores(asked), want, atol=1e-3)
 
 
+def test_language_stage_rejects_what_is_not_learned(spark):
+    """Texts of a language that was left out, and letters at random, go by their even scores; held-out texts stay."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL")
+    rng = np.random.default_rng(5)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 900)) for _ in range(40)]
+    noisy = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(noise)], "doc_id long, text string")
+    for left_out, most in (("fr", 0.2), ("es", 0.2)):
+        model = language.fit(documents.where(F.col("lang") != left_out))
+        asked = documents.withColumn("out", F.col("lang") == left_out).where("char_length(text) >= 200")
+        asked = asked.where(F.col("out") | shared.held_out(F.col("doc_id")))
+        kept = language.accepted(asked, model).groupBy("out").count().collect()
+        total = asked.groupBy("out").count().collect()
+        kept, total = ({r["out"]: r["count"] for r in rows} for rows in (kept, total))
+        assert kept[False] >= 0.99 * total[False] and kept.get(True, 0) <= most * total[True]
+    whole = language.fit(documents)
+    assert language.accepted(noisy, whole).count() <= 0.2 * len(noise)
+    # Short texts need a letter only; of two learned languages a clear one stays.
+    two = language.fit(documents.where("lang IN ('en', 'de')"))
+    some = spark.createDataFrame([(1, "ok"), (2, "12 !"), (3, None), (4, "the of and to in that is for it was " * 20)], "doc_id long, text string")
+    assert {r["doc_id"] for r in language.accepted(some, two).collect()} == {1, 4}
+
+
 def test_mixing_targets(spark):
     rng = np.random.default_rng(1)
     for n in (1, 2, 7, 30):
