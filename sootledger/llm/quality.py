@@ -102,6 +102,28 @@ def terms(texts: list[bytes]) -> np.ndarray:
     return out
 
 
+def runs(texts: list[bytes], size: int = 500_000):
+    """The texts in runs of about `size` bytes and at most BLOCK texts."""
+    run, held = [], 0
+    for t in texts:
+        run.append(t)
+        held += len(t)
+        if held >= size or len(run) == BLOCK:
+            yield run
+            run, held = [], 0
+    if run:
+        yield run
+
+
+def _leading(gram: np.ndarray, k: int) -> np.ndarray:
+    """The k leading directions of a symmetric matrix by orthogonal iteration, which needs no second matrix of its size."""
+    basis = np.random.default_rng(7).normal(size=(len(gram), k + 16)).astype(gram.dtype)
+    for _ in range(60):
+        basis, _ = np.linalg.qr(gram @ basis)
+    _, turn = np.linalg.eigh((basis.T @ gram @ basis).astype(np.float64))
+    return (basis @ turn[:, ::-1][:, :k]).astype(np.float32)
+
+
 @dataclass
 class Model:
     """Weights of the terms, the latent directions, and the labelled vectors, all of bounded size."""
@@ -131,15 +153,17 @@ class Model:
 
 
 def train(texts: list[bytes], labels: list[int]) -> Model:
-    seen = np.concatenate([terms(texts[i : i + BLOCK]) for i in range(0, len(texts), BLOCK)] or [terms([])])
     if len(texts) == 0:
         return Model(np.zeros(WIDTH, np.float32), np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
-    idf = np.log((1 + len(seen)) / (1 + (seen > 0).sum(axis=0))).astype(np.float32) + 0.2
-    weighted = seen * idf
-    _, vectors = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    directions = vectors[:, ::-1][:, :LATENT].astype(np.float32)
+    found = sum((terms(run) > 0).sum(axis=0) for run in runs(texts))
+    idf = np.log((1 + len(texts)) / (1 + found)).astype(np.float32) + 0.2
+    gram = np.zeros((WIDTH, WIDTH), np.float32)
+    for run in runs(texts):
+        weighted = terms(run) * idf
+        gram += weighted.T @ weighted
+    directions = _leading(gram, LATENT)
     model = Model(idf, directions, np.zeros((0, LATENT), np.float32), np.array(labels, dtype=np.float64))
-    model.vectors = np.concatenate([model.embed(texts[i : i + BLOCK]) for i in range(0, len(texts), BLOCK)])
+    model.vectors = np.concatenate([model.embed(run) for run in runs(texts)])
     return model
 
 
@@ -170,14 +194,7 @@ def judged(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     @F.pandas_udf("double")
     def vote(column: pd.Series) -> pd.Series:
         texts = [b"" if t is None else t.encode() for t in column.tolist()]
-        out, run, held = [], [], 0
-        for t in texts:
-            run.append(t)
-            held += len(t)
-            if held >= 500_000:
-                out.append(shared.value.score(run))
-                run, held = [], 0
-        out.append(shared.value.score(run))
+        out = [shared.value.score(run) for run in runs(texts)] or [np.zeros(0)]
         return pd.Series(np.concatenate(out))
 
     columns = docs.drop("score").columns
