@@ -10,7 +10,7 @@ from sootledger.session import tune
 
 
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; texts without letters, and NULL, go."""
+    """Documents in a language that can be told; texts without letters, long ones of no clear language, and NULL, go."""
     return language.accepted(docs, language.fit(docs))
 
 
