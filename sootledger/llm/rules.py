@@ -14,6 +14,7 @@ BUCKETS = 1 << 14  # at least; beyond, the buckets follow the corpus
 LOAD = 64  # n-grams a bucket, at most
 PRIOR = 16
 PAGE = 1024  # buckets a row of the table
+COUNTED = 1 << 26  # n-grams a task counts, at least, where there are as many tasks as cores
 PACKED = 1 << 25  # buckets of a table that is broadcast: 128 MB
 UNIT = float(1 << 20)
 BLOCKS = 1 << 14  # bitmaps of ids, 4 KB each
@@ -133,25 +134,31 @@ def place_of(bucket: str) -> Column:
 def placed_grams(docs: DataFrame, buckets: int, first: bool = False) -> DataFrame:
     """One row for each word and pair of neighbouring words: all columns but the text, and `bucket`.
 
-    `first` adds whether it is the first one of its row.
+    `first` adds whether it is the first one of its row. Words are hashed behind the generator, where Spark
+    compiles it; inside a function over an array each word would be interpreted.
     """
     kept = [c for c in docs.columns if c != "text"]
     one = docs.select(*kept, words(F.col("text")).alias("_words"))
-    one = one.select(*kept, F.transform("_words", hashed).alias("_one"))
-    every = F.concat("_one", neighbours("_one", 1))
+    after = F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1)))
+    met = one.select(*kept, F.posexplode(F.arrays_zip(F.col("_words").alias("one"), after.alias("two"))).alias("_at", "_pair"))
+    hashes = met.select(*kept, "_at", hashed(F.col("_pair.one")).alias("_one"), hashed(F.col("_pair.two")).alias("_two"),
+                        F.col("_pair.two").isNotNull().alias("_more"))
+    pair = F.when(F.col("_more"), joined(F.col("_one"), F.col("_two")))
+    grams = hashes.select(*kept, "_at", "_more", F.posexplode(F.array("_one", pair)).alias("_kind", "_gram"))
+    grams = grams.where((F.col("_kind") == 0) | F.col("_more"))
     if first:
-        grams = one.select(*kept, F.posexplode(every).alias("_at", "_gram"))
-        kept = [*kept, (F.col("_at") == 0).alias("_first")]
-    else:
-        grams = one.select(*kept, F.explode(every).alias("_gram"))
+        kept = [*kept, ((F.col("_at") == 0) & (F.col("_kind") == 0)).alias("_first")]
     return grams.select(*kept, F.pmod("_gram", F.lit(buckets).cast("long")).alias("bucket"))
 
 
 def table_of(marked: DataFrame, total: int, share: float) -> Table:
     """The same ratios as log_ratios, counted and kept as a table, with a bucket for each LOAD n-grams."""
     buckets = -(-total // LOAD)
-    counts = placed_grams(marked.select("trusted", "text"), buckets).groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("trusted").alias("t")
+    # A task sends one row for each bucket it has seen: few tasks send least. All cores stay busy, and no task
+    # counts much more than COUNTED n-grams, so their number follows the corpus.
+    tasks = max(marked.sparkSession.sparkContext.defaultParallelism, -(-total // COUNTED))
+    counts = placed_grams(marked.select("trusted", "text").coalesce(tasks), buckets).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("trusted").cast("long")).alias("t")
     )
     ratio = F.log((F.col("t") + PRIOR * share) / ((F.col("n") + PRIOR) * share)) if share else F.lit(0.0)
     entry = F.struct(place_of("bucket"), F.round(ratio * UNIT).cast("int").alias("ratio"))

@@ -55,9 +55,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(text: Column) -> Column:
-    """Array of the words of a text; NULL has none."""
-    bare = F.trim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACES + "+"))
+    """Array of the words of a text; NULL has none. One separator splits faster than a pattern."""
+    spaced = F.coalesce(text, F.lit(""))
+    for other in "\t\n\x0b\x0c\r":
+        spaced = F.replace(spaced, F.lit(other), F.lit(" "))
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def held_out(doc_id: Column) -> Column:

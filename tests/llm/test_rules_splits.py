@@ -1,5 +1,7 @@
 """Verdicts of the rules do not depend on how the rows are split, ordered or accompanied."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,3 +51,41 @@ def test_repeated_rows_share_a_key(spark, model):
     again = docs.unionByName(docs).unionByName(docs)
     rows = rules.rated(again, model).collect()
     assert len(rows) == 60 and all((r["ratio"], r["kept"]) == once[r["doc_id"]] for r in rows)
+
+
+def test_counting_sends_few_rows(spark, monkeypatch):
+    """As many tasks as cores count the n-grams of a table, or more where there are many; splits do not matter."""
+    monkeypatch.setattr(rules, "BUCKETS", 1 << 10)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(40)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    tasks, coalesce = [], type(docs).coalesce
+    monkeypatch.setattr(type(docs), "coalesce", lambda self, n: tasks.append(n) or coalesce(self, n))
+    tables = []
+    for counted in (rules.COUNTED, 10_000):
+        monkeypatch.setattr(rules, "COUNTED", counted)
+        model = rules.fit(docs, labels)
+        tables.append({(r["page"], tuple(r["ratios"])) for r in model.pages.collect()})
+    cores = spark.sparkContext.defaultParallelism
+    assert tasks[0] == cores < 40 and tasks[1] > cores and tables[0] == tables[1]
+
+
+def test_n_grams_of_awkward_texts(spark):
+    texts = [None, "", " \n", "a", " a\tb ", "a\x0b\x0cb\r\nc  d\u00a0e", "a a a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {}
+    for i, t in enumerate(texts):
+        found = [w for w in re.split(r"[\x20\x09-\x0D]+", t or "") if w]
+        rows = spark.createDataFrame([(w, v) for w, v in zip(found, [*found[1:], None])], "w string, v string")
+        own = rules.hashed(F.col("w"))
+        pair = F.when(F.col("v").isNotNull(), rules.joined(own, rules.hashed(F.col("v"))))
+        hashes = [x for r in rows.select(own, pair).collect() for x in r if x is not None]
+        want[i] = sorted(x % 1000003 for x in hashes)
+    got = {i: [] for i in want}
+    firsts = dict.fromkeys(want, 0)
+    for r in rules.placed_grams(docs, 1000003, first=True).collect():
+        got[r["doc_id"]].append(r["bucket"])
+        firsts[r["doc_id"]] += r["_first"]
+    assert {i: sorted(b) for i, b in got.items()} == want
+    assert firsts == {i: int(bool(b)) for i, b in want.items()}
+    plan = rules.placed_grams(docs, 1000003)._jdf.queryExecution().executedPlan().toString()
+    assert "transform" not in plan and "lambda" not in plan  # compiled, not interpreted word by word
