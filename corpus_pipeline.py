@@ -31,8 +31,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences."""
-    return packing.digest(packing.pack(docs, packing.vocabulary()))
+    """Pieces of all documents in sequences; the workers, which all stages share, give the memory of words back."""
+    return packing.digest(packing.pack(docs, packing.vocabulary(), remember=False))
 
 
 STAGES = [

@@ -6,7 +6,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +54,11 @@ def _normal(has: np.ndarray) -> np.ndarray:
 
 
 def runs(texts: list, size: int = 300_000):
-    """Positions of the texts in runs of about `size` characters."""
+    """Positions of the texts in runs of about `size` characters; a short text counts as a whole window."""
     run, held = [], 0
     for i, t in enumerate(texts):
         run.append(i)
-        held += len(t)
+        held += max(len(t), WINDOW)
         if held >= size:
             yield run
             run, held = [], 0
@@ -146,10 +146,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     NULL texts and texts without any letter are 'und' with score 0.
     """
 
-    @F.pandas_udf("lang_pred string, score double")
-    def predict(column: pd.Series) -> pd.DataFrame:
-        names, score = model.predict(column.tolist())
-        return pd.DataFrame({"lang_pred": names, "score": score})
+    @F.arrow_udf("lang_pred string, score double")
+    def predict(column: pa.Array) -> pa.Array:
+        names, score = model.predict(column.to_pylist())
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
 
     columns = docs.drop("lang_pred", "score").columns
     return docs.select(packed(columns).alias("_row"), predict(column_named(text)).alias("_found")).select(

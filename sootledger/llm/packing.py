@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sootledger.llm.shared import documents, running_start, written
-from sootledger.llm.tokens import encoded
+from sootledger.llm.tokens import encoded, forget
 
 HASHED = 512
 DIMENSIONS = 3
@@ -57,8 +57,11 @@ def hilbert_key(points: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return key
 
 
-def tokens_with_key(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """Rows (doc_id, ids, n, curve, row): ids as binary, place on the curve, and a row number of its own."""
+def tokens_with_key(docs: DataFrame, path: str, end_id: int, remember: bool = True) -> DataFrame:
+    """Rows (doc_id, ids, n, curve, row): ids as binary, place on the curve, and a row number of its own.
+
+    Workers keep the words they have met from task to task; without `remember` each task gives them back.
+    """
     grid, top = projection(), (1 << DEPTH) - 1
 
     def each(batches):
@@ -80,6 +83,8 @@ def tokens_with_key(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                     names=["doc_id", "ids", "n", "curve", "row"],
                 )
                 row += n
+        if not remember:
+            forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
@@ -87,7 +92,7 @@ def tokens_with_key(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048) -> DataFrame:
+def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, remember: bool = True) -> DataFrame:
     """Pieces of all documents, packed into sequences of `length` tokens along the Hilbert curve.
 
     Columns: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id,
@@ -95,7 +100,7 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, length: int = 2048) -> Dat
     of the length, so only the last sequence may be short. NULL texts count as empty and give the
     end id alone; NULL and repeated ids are packed like any other row; copies lie side by side.
     """
-    tokens = written(tokens_with_key(docs, path, end_id), "tokens")
+    tokens = written(tokens_with_key(docs, path, end_id, remember), "tokens")
     placed = running_start(tokens.select("curve", "row", "n"), ["curve", "row"], "n", "begin").select("row", "begin")
 
     def slices(batches):

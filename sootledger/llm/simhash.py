@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sootledger.llm.rules import flagged
 from sootledger.llm.shared import column_named, components, cut, documents, numbered, renamed, row_hash
 
 BITS = 64
@@ -171,36 +172,99 @@ def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return common >= least * (len(a) + len(b) - common)
 
 
-def similar_links(docs: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
-    """Links (a, b) between the fingerprints `fp` of texts whose sets of shingles are similar from `least`.
+def sketches(docs: DataFrame, size: int = 4, shingle_size: int = 5) -> DataFrame:
+    """All columns but the text; `fp`; `sid`, a hash of the set of shingles; its `bands`; `tk`, a hash of the text."""
+    kept = [c for c in docs.columns if c != "text"]
+
+    def each(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            fps, sids, keys = [], [], []
+            for t in texts:
+                text = t.as_py()
+                fps.append(fingerprint(text, size))
+                found = shingles(text, shingle_size)
+                sids.append(set_id(found))
+                keys.append(bands(found).view(np.int64) if len(found) else [])
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c) for c in kept),
+                pa.array(np.array(fps, np.uint64).view(np.int64)),
+                pa.array(np.array(sids, np.uint64).view(np.int64)),
+                pa.array(keys, pa.list_(pa.int64())),
+            ], names=[*kept, "fp", "sid", "bands"])
+
+    rows = docs.select(*kept, "text", text_hash().alias("tk"))
+    kept = [*kept, "tk"]
+    schema = rows.drop("text").withColumns(
+        {"fp": F.lit(0).cast("long"), "sid": F.lit(0).cast("long"), "bands": F.array().cast("array<long>")}
+    ).schema
+    return rows.mapInArrow(each, schema)
+
+
+def set_id(found: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(found.tobytes(), 42)
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, size: int = 5) -> DataFrame:
+    """Rows (sid, members): the sets of shingles with the ids in `wanted` (sid, tk), each once.
 
-    Rows (fp, text). Texts with one set are one: its fingerprints form a star. Other sets that share a band
-    are compared exactly, keys with many members by tiles, and only a spanning forest of each pair of tiles leaves.
+    Texts that no one asks for are left out by a bitmap of places of their hashes, before they are read word by
+    word. A place can be shared, so the id decides.
     """
+    places = F.lit(8 * max(wanted.count(), 1))
+    texts = docs.select("text", F.pmod(text_hash(), places).alias("doc_id"))
+    texts = flagged(texts, wanted.select(F.pmod("tk", places).alias("doc_id"))).where("trusted")
 
     def each(batches):
         for batch in batches:
             sets = [shingles(t.as_py(), size) for t in batch.column("text").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([
-                batch.column("fp"),
-                pa.array([xxhash.xxh64_intdigest(x.tobytes(), 42) for x in sets], pa.uint64()).view(pa.int64()),
-                pa.array([bands(x).view(np.int64) if len(x) else [] for x in sets], pa.list_(pa.int64())),
+                pa.array(np.array([set_id(x) for x in sets], np.uint64).view(np.int64)),
                 pa.array([x.tobytes() for x in sets], pa.binary()),
-            ], names=["fp", "sid", "bands", "members"])
+            ], names=["sid", "members"])
 
-    found = cut(docs.select("fp", "text").mapInArrow(each, "fp long, sid long, bands array<long>, members binary"))
-    sets = cut(found.groupBy("sid").agg(F.min("fp").alias("fp")))
-    same = found.select("sid", F.col("fp").alias("a")).distinct().join(sets.withColumnRenamed("fp", "b"), "sid").where("a != b")
-    keys = found.select("sid", "bands").dropDuplicates(["sid"])
+    found = texts.select("text").mapInArrow(each, "sid long, members binary")
+    return found.dropDuplicates(["sid"]).join(wanted.select("sid"), "sid", "left_semi")
+
+
+def shared_keys(keyed: DataFrame) -> DataFrame:
+    """Keys (choice, key) of two or more sets, and their number n.
+
+    Of keys that hold the same two or three sets, one is enough: their smallest and largest id and the exclusive
+    or of all tell which sets they are.
+    """
+    groups = cut(
+        keyed.groupBy("choice", "key")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.bit_xor("sid").alias("all"))
+        .where("n > 1")
+    )
+    small = groups.where("n <= 3").groupBy("n", "lo", "hi", "all").agg(F.min(F.struct("choice", "key")).alias("k"))
+    return small.select("k.choice", "k.key", "n").unionByName(groups.where("n > 3").select("choice", "key", "n"))
+
+
+def similar_links(docs: DataFrame, marked: DataFrame, least: float = 0.8, size: int = 5) -> DataFrame:
+    """Links (a, b) between the fingerprints `fp` of texts whose sets of shingles are similar from `least`.
+
+    `docs` has the texts, `marked` their sketches. Texts with one set are one: its fingerprints form a star. Other
+    sets that share a band are compared exactly, keys with many members by tiles, and only a spanning forest of
+    each pair of tiles leaves. Sets are neither stored nor moved but for those that share a band.
+    """
+    sets = cut(marked.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("tk").alias("tk")))
+    first = sets.select("sid", F.col("fp").alias("b"))
+    same = marked.select("sid", F.col("fp").alias("a")).distinct().join(first, "sid").where("a != b")
+    keys = marked.select("sid", "bands").dropDuplicates(["sid"])
     keyed = keys.select("sid", F.posexplode("bands").alias("choice", "key"))
-    shared = keyed.groupBy("choice", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = keyed.join(shared, ["choice", "key"]).withColumn("tiles", F.ceil(F.col("n") / TILE))
+    met = cut(keyed.join(shared_keys(keyed), ["choice", "key"])).withColumn("tiles", F.ceil(F.col("n") / TILE))
     met = met.withColumn("own", F.pmod(F.xxhash64("sid"), F.col("tiles")))
     tiles = met.select(
         "sid", "choice", "key", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
     ).select("sid", "choice", "key", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    # Sets move only to the keys they share with others.
-    members = found.select("sid", "members").dropDuplicates(["sid"]).join(sets, "sid")
+    wanted = cut(sets.join(met.select("sid").distinct(), "sid"))
+    members = sets_of(docs, wanted, size).join(wanted.select("sid", "fp"), "sid")
     group = ["choice", "key", "i", "j"]
 
     def verify(batches):
@@ -257,12 +321,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", siz
     if similar is None:
         marked = cut(fingerprints(rows, "text", size))
     else:
-        whole = fingerprints(rows.withColumn("_text", F.col("text")), "text", size).withColumnRenamed("_text", "text")
-        marked = cut(whole.drop("text"))
+        marked = cut(sketches(rows, size))
     fps = cut(marked.groupBy("fp").agg(F.min("_id").alias("_least")))
     near = links(fps.select("fp"), distance)
     if similar is not None:
-        near = near.unionByName(similar_links(whole.select("fp", "text"), similar))
+        near = near.unionByName(similar_links(rows, marked, similar))
     roots = components(near).withColumnRenamed("node", "fp")
     named = fps.join(roots, "fp", "left").withColumn("_root", F.coalesce("root", "fp"))
     names = named.groupBy("_root").agg(F.min("_least").alias("component_id"))

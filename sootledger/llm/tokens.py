@@ -167,6 +167,12 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Give back what this worker process remembers: for jobs whose other stages need its memory."""
+    _encoders.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def encoded(texts: pa.Array, path: str, end_id: int, size: int = 2_000_000):
     """Yields (first row, list of ids with the end id) for runs of rows of about `size` characters."""
     coder, end = encoder(path), np.array([end_id], dtype="<u4").tobytes()
