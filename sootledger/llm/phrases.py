@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +38,38 @@ def _keys(arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[:, 0] << np.uint64(32) | a[:, 1], a[:, 2] << np.uint64(32) | a[:, 3]
 
 
+def _spaced(words: pa.LargeBinaryArray) -> bytes:
+    """Words with a space between them, as one string of bytes."""
+    held = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words)
+    return pc.binary_join(held, pa.scalar(b" ", pa.large_binary()))[0].as_py()
+
+
+def _apart(raw: bytes, n: int) -> pa.LargeBinaryArray:
+    """The n words of such a string."""
+    letters = np.frombuffer(raw, dtype=np.uint8)
+    space = letters == 0x20
+    inner = np.flatnonzero(space)
+    offsets = np.concatenate([[0], inner - np.arange(len(inner)), [len(raw) - len(inner)]])[: n + 1].astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(letters[~space])])
+
+
 @dataclass
 class Automaton:
     """A deterministic acyclic automaton whose accepted paths, n-grams of up to four words, carry weights.
 
-    `words` are the labels in byte order; a row of `arcs` is one accepted path as labels from 1 on, filled up
+    `names` are the words behind the labels, in byte order (`words` has them as a list); a row of `arcs` is one accepted path as labels from 1 on, filled up
     with 0; rows are sorted and distinct. States are the prefixes of rows: written down (`pack`), each row adds
     only the arcs behind the state that it shares with the row before it, as in incremental construction.
     """
 
-    words: list[bytes]
+    names: pa.LargeBinaryArray
     arcs: np.ndarray
     weights: np.ndarray
 
+    @cached_property
+    def words(self) -> list[bytes]:
+        return self.names.to_pylist()
+
     @classmethod
     def of(cls, words: pa.Array, labels: np.ndarray, weights: np.ndarray | None = None) -> Automaton:
         """From paths in any order: equal ones become one, whose weight is their sum. `words` are distinct, in any order."""
@@ -78,7 +98,7 @@ class Automaton:
             sums = np.diff(np.append(starts, len(by)))
         else:
             sums = np.add.reduceat(weights[by], starts) if len(starts) else np.zeros(0, dtype=np.int64)
-        return cls(words.take(pa.array(order)).to_pylist(), labels[by[starts]], sums.astype(np.int64))
+        return cls(words.take(pa.array(order)), labels[by[starts]], sums.astype(np.int64))
 
     @classmethod
     def counted(cls, text: bytes) -> Automaton:
@@ -103,24 +123,30 @@ class Automaton:
 
     def first_not_below(self, path: list[bytes]) -> int:
         """Number of rows that are smaller than a path."""
-        labels = np.zeros((1, MOST_WORDS), dtype=np.int64)
-        for k, word in enumerate(path):
-            at = bisect_left(self.words, word)
-            labels[0, k] = at + 1
-            if at == len(self.words) or self.words[at] != word:
-                break
-        (high,), (low,) = _keys(labels)
-        keys, lows = _keys(self.arcs)
-        a, b = np.searchsorted(keys, high, "left"), np.searchsorted(keys, high, "right")
-        return int(a + np.searchsorted(lows[a:b], low, "left"))
+        return self.places([path])[0]
+
+    def places(self, paths: list[list[bytes]]) -> list[int]:
+        """The same for many paths, with one look at the rows."""
+        labels = np.zeros((len(paths), MOST_WORDS), dtype=np.int64)
+        for i, path in enumerate(paths):
+            for k, word in enumerate(path):
+                at = bisect_left(self.words, word)
+                labels[i, k] = at + 1
+                if at == len(self.words) or self.words[at] != word:
+                    break
+        (high, low), (keys, lows) = _keys(labels), _keys(self.arcs)
+        begin, end = np.searchsorted(keys, high, "left"), np.searchsorted(keys, high, "right")
+        return [int(a + np.searchsorted(lows[a:b], want, "left")) for a, b, want in zip(begin, end, low)]
 
     def part(self, begin: int, end: int) -> Automaton:
         arcs = self.arcs[begin:end]
-        used = np.unique(arcs)
-        used = used[used > 0]
-        return Automaton(
-            [self.words[i - 1] for i in used], np.where(arcs > 0, np.searchsorted(used, arcs) + 1, 0).astype(np.int32), self.weights[begin:end]
-        )
+        seen = np.zeros(len(self.names) + 1, dtype=bool)
+        seen[arcs] = True
+        seen[0] = False
+        used = np.flatnonzero(seen)
+        own = np.zeros(len(seen), dtype=np.int32)
+        own[used] = np.arange(1, len(used) + 1)
+        return Automaton(self.names.take(pa.array(used - 1)), own[arcs], self.weights[begin:end])
 
     def pack(self) -> bytes:
         shared = np.zeros(len(self.arcs), dtype=np.int64)
@@ -132,10 +158,10 @@ class Automaton:
         column = np.arange(MOST_WORDS)
         added = self.arcs[(column >= shared[:, None]) & (column < depth[:, None])]
         parts = [
-            b" ".join(self.words), (shared * (MOST_WORDS + 1) + depth).astype(np.uint8).tobytes(),
+            _spaced(self.names), (shared * (MOST_WORDS + 1) + depth).astype(np.uint8).tobytes(),
             added.astype("<u4").tobytes(), self.weights.astype("<i8").tobytes(),
         ]
-        sizes = np.array([len(self.words), *map(len, parts)], dtype="<i8").tobytes()
+        sizes = np.array([len(self.names), *map(len, parts)], dtype="<i8").tobytes()
         raw = sizes + b"".join(parts)
         return len(raw).to_bytes(8, "little") + pa.compress(raw, codec=_CODEC, asbytes=True)
 
@@ -153,19 +179,20 @@ class Automaton:
         for k in range(MOST_WORDS):  # a label that is not written is that of the last row that writes one
             last = np.maximum.accumulate(np.where(fresh[:, k], np.arange(len(arcs)), 0))
             arcs[:, k] = np.where(column[k] < depth, arcs[last, k], 0)
-        return cls(words.split(b" ") if n else [], arcs, np.frombuffer(weights, dtype="<i8").astype(np.int64))
+        return cls(_apart(words, n), arcs, np.frombuffer(weights, dtype="<i8").astype(np.int64))
 
     @classmethod
     def union(cls, parts: list[Automaton]) -> Automaton:
         """All paths of some automata; the weights of equal paths are summed."""
-        every = pa.array([w for p in parts for w in p.words], pa.large_binary()).dictionary_encode()
+        none = pa.array([], pa.large_binary())
+        every = pa.concat_arrays([none, *(p.names for p in parts)]).dictionary_encode()
         place = every.indices.to_numpy() + np.int32(1)
         labels, at = [], 0
         for p in parts:
-            own = np.zeros(len(p.words) + 1, dtype=np.int32)
-            own[1:] = place[at : at + len(p.words)]
+            own = np.zeros(len(p.names) + 1, dtype=np.int32)
+            own[1:] = place[at : at + len(p.names)]
             labels.append(own[p.arcs])
-            at += len(p.words)
+            at += len(p.names)
         empty = np.zeros((0, MOST_WORDS), dtype=np.int32)
         weights = np.concatenate([np.zeros(0, dtype=np.int64), *(p.weights for p in parts)])
         return cls.of(every.dictionary, np.concatenate([empty, *labels]), weights)
@@ -257,7 +284,7 @@ def shards(rows: DataFrame, starts: list[tuple[bytes, list[bytes]]], size: int =
     def cut_up(lang: str, texts: list[bytes]):
         found = Automaton.counted(b"\n".join(texts))
         first, last = bisect_left(languages, lang.encode()), bisect_left(languages, lang.encode() + b"\0")
-        at = [0, *(found.first_not_below(path) for _, path in starts[first:last]), len(found.arcs)]
+        at = [0, *found.places([path for _, path in starts[first:last]]), len(found.arcs)]
         out = [(first + i, found.part(a, b).pack()) for i, (a, b) in enumerate(zip(at, at[1:])) if b > a]
         return pa.RecordBatch.from_arrays(
             [pa.array([o[0] for o in out], pa.int64()), pa.array([lang] * len(out), pa.string()), pa.array([o[1] for o in out], pa.binary())],

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from checks.compare import database, differences
@@ -110,3 +111,31 @@ def test_automata():
     names = [b" ".join(query.words[j - 1] for j in p if j) for p in query.arcs]
     assert dict(zip(names, held.compose(query).tolist())) == {
         b"hot pair": want["hot", "pair"], b"pair": want["pair",], b"no such": 0, b"w1 zz": 0}
+
+
+class Rows:
+    """Stands for a DataFrame: hands back the function of the tasks."""
+
+    def mapInArrow(self, each, schema):
+        return each
+
+
+def test_many_ranges_cost_one_look(monkeypatch):
+    """Where a shard is cut at hundreds of ranges, its rows are read once and not once a range."""
+    text = "\n".join(t or "" for t, _ in corpus(300))
+    whole = Automaton.counted(text.encode())
+    rows = whole.arcs[::2]
+    paths = [[whole.words[j - 1] for j in p if j] for p in rows] + [[b"no such"], [b"hot", b"zz"], [b"~~"]]
+    starts = sorted((b"en", p) for p in paths)
+    seen, keys = [], phrases._keys
+    monkeypatch.setattr(phrases, "_keys", lambda arcs: seen.append(len(arcs)) or keys(arcs))
+    cut_up = phrases.shards(Rows(), starts)
+    (out,) = cut_up([pa.RecordBatch.from_pydict({"lang": ["en"], "text": [text.encode()]})])
+    assert len(starts) > 300 and sum(seen) <= 2 * (len(whole.arcs) + len(starts))
+    parts = {r["range"]: Automaton.unpack(r["automaton"]) for r in out.to_pylist()}
+    for at, part in parts.items():
+        for p in part.arcs:
+            path = [part.words[j - 1] for j in p if j]
+            assert at == sum(s <= path for _, s in starts)
+    both = Automaton.union(list(parts.values()))
+    assert both.words == whole.words and (both.arcs == whole.arcs).all() and (both.weights == whole.weights).all()
