@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from math import log
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,8 @@ LOAD = 64  # n-grams a bucket, at most
 PRIOR = 16
 PAGE = 1024  # buckets a row of the table
 COUNTED = 1 << 26  # n-grams a task counts, at least, where there are as many tasks as cores
-PACKED = 1 << 25  # buckets of a table that is broadcast: 128 MB
+PACKED = 1 << 25  # buckets that are broadcast at a time, at most: 128 MB
+PAGE_BYTES = 4352  # a page in memory, with what stands around its ratios
 UNIT = float(1 << 20)
 BLOCKS = 1 << 14  # bitmaps of ids, 4 KB each
 RUN = 8
@@ -110,17 +112,47 @@ class Table:
         """Rows (_key, _sum) of rows (_key, text) that have n-grams: the sum of their log ratios.
 
         The key stands for the text, so it does not matter how often, where or in which splits rows are read: rows
-        of one key are added up, and the sum is divided by their number. Up to PACKED buckets the table is
-        broadcast and only sums move; beyond, n-grams and pages meet in a shuffle. Sums of integers do not
-        depend on the order.
+        of one key are added up, and the sum is divided by their number. N-grams never move, only sums do: a table
+        that the driver can hold is broadcast, a larger one slice by slice, and the texts are read once a slice.
+        Sums of integers do not depend on the order.
         """
-        grams = placed_grams(docs, self.buckets, first=True)
-        placed = grams.select("_key", "_first", page_of("bucket"), place_of("bucket"))
-        pages = F.broadcast(self.pages) if self.buckets <= PACKED else self.pages
-        met = placed.join(pages, "page").select(
-            "_key", "_first", F.get("ratios", F.col("place")).cast("long").alias("r")
+        slices, pages = -(-self.buckets // slice_size(docs.sparkSession)), -(-self.buckets // PAGE)
+        bounds = [pages * i // slices for i in range(slices + 1)]
+        looked_up = (self._part(docs, a, b) for a, b in zip(bounds, bounds[1:]))
+        if slices == 1:
+            whole = next(looked_up)
+        else:  # each slice is summed up before the next one is made, so that one is broadcast at a time
+            parts = reduce(DataFrame.unionByName, map(cut, looked_up))
+            whole = parts.groupBy("_key").agg(F.sum("_r").alias("_r"), F.max("_rows").alias("_rows"))
+        return whole.select("_key", (F.col("_r") / F.col("_rows") / UNIT).alias("_sum"))
+
+    def _part(self, docs: DataFrame, begin: int, end: int) -> DataFrame:
+        """Rows (_key, _r, _rows): the sum of the n-grams in some pages, and the number of rows that have n-grams."""
+        pages, first = self.pages, F.col("_at") == 0
+        places = [F.pmod(gram, F.lit(self.buckets).cast("long")).alias(gram) for gram in ("_one", "_pair")]
+        found = hashed_words(docs).select("_key", first.alias("_first"), *places)
+        if (begin, end) != (0, -(-self.buckets // PAGE)):
+            pages = pages.where((F.col("page") >= begin) & (F.col("page") < end))
+            own = [(F.col(g) >= begin * PAGE) & (F.col(g) < end * PAGE) for g in ("_one", "_pair")]
+            found = found.where(F.coalesce(own[0] | own[1] | F.col("_first"), F.lit(False)))
+        for gram in ("_one", "_pair"):
+            side = F.broadcast(pages.select(F.col("page").alias("_page"), F.col("ratios").alias("_ratios")))
+            at = F.shiftright(gram, 10)
+            looked = F.get("_ratios", place_of(gram)).cast("long")
+            rest = [c for c in found.columns if c != gram]
+            found = found.join(side, at == F.col("_page"), "left").select(*rest, F.coalesce(looked, F.lit(0)).alias(f"r{gram}"))
+        return found.groupBy("_key").agg(
+            F.sum(F.col("r_one") + F.col("r_pair")).alias("_r"), F.count_if("_first").alias("_rows")
         )
-        return met.groupBy("_key").agg((F.sum("r") / F.count_if("_first") / UNIT).alias("_sum"))
+
+
+def slice_size(spark: SparkSession) -> int:
+    """Buckets that are broadcast at a time: PACKED, or what takes a twelfth of the driver's memory.
+
+    While it builds a broadcast, the driver holds the slice some four times, beside the blocks of earlier ones.
+    """
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return max(PAGE, min(PACKED, heap // 12 // PAGE_BYTES * PAGE))
 
 
 def page_of(bucket: str) -> Column:
@@ -134,23 +166,33 @@ def place_of(bucket: str) -> Column:
 def placed_grams(docs: DataFrame, buckets: int, first: bool = False) -> DataFrame:
     """One row for each word and pair of neighbouring words: all columns but the text, and `bucket`.
 
-    `first` adds whether it is the first one of its row. Words are hashed behind the generator, where Spark
-    compiles it; inside a function over an array each word would be interpreted.
+    `first` adds whether it is the first one of its row.
     """
     kept = [c for c in docs.columns if c != "text"]
-    one = docs.select(*kept, words(F.col("text")).alias("_words"))
-    after = F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1)))
-    met = one.select(*kept, F.posexplode(F.arrays_zip(F.col("_words").alias("one"), after.alias("two"))).alias("_at", "_pair"))
-    hashes = met.select(*kept, "_at", hashed(F.col("_pair.one")).alias("_one"), hashed(F.col("_pair.two")).alias("_two"),
-                        F.col("_pair.two").isNotNull().alias("_more"))
-    pair = F.when(F.col("_more"), joined(F.col("_one"), F.col("_two")))
-    grams = hashes.select(*kept, "_at", "_more", F.posexplode(F.array("_one", pair)).alias("_kind", "_gram"))
+    more = F.col("_pair").isNotNull()
+    grams = hashed_words(docs).select(*kept, "_at", more.alias("_more"), F.posexplode(F.array("_one", "_pair")).alias("_kind", "_gram"))
     grams = grams.where((F.col("_kind") == 0) | F.col("_more"))
     if first:
         kept = [*kept, ((F.col("_at") == 0) & (F.col("_kind") == 0)).alias("_first")]
     return grams.select(*kept, F.pmod("_gram", F.lit(buckets).cast("long")).alias("bucket"))
 
 
+def hashed_words(docs: DataFrame) -> DataFrame:
+    """One row for each word: all columns but the text, its place `_at`, its hash `_one`, and `_pair`, NULL at the end.
+
+    Words are hashed behind the generator, where Spark compiles it; inside a function over an array each word
+    would be interpreted.
+    """
+    kept = [c for c in docs.columns if c != "text"]
+    one = docs.select(*kept, words(F.col("text")).alias("_words"))
+    after = F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1)))
+    met = one.select(*kept, F.posexplode(F.arrays_zip(F.col("_words").alias("one"), after.alias("two"))).alias("_at", "_word"))
+    hashes = met.select(*kept, "_at", hashed(F.col("_word.one")).alias("_one"), hashed(F.col("_word.two")).alias("_two"),
+                        F.col("_word.two").isNotNull().alias("_more"))
+    pair = F.when(F.col("_more"), joined(F.col("_one"), F.col("_two")))
+    return hashes.select(*kept, "_at", "_one", pair.alias("_pair"))
+
+
 def table_of(marked: DataFrame, total: int, share: float) -> Table:
     """The same ratios as log_ratios, counted and kept as a table, with a bucket for each LOAD n-grams."""
     buckets = -(-total // LOAD)

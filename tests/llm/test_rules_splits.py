@@ -89,3 +89,33 @@ def test_n_grams_of_awkward_texts(spark):
     assert firsts == {i: int(bool(b)) for i, b in want.items()}
     plan = rules.placed_grams(docs, 1000003)._jdf.queryExecution().executedPlan().toString()
     assert "transform" not in plan and "lambda" not in plan  # compiled, not interpreted word by word
+
+
+def test_a_large_table_is_looked_up_in_slices(spark, model, monkeypatch):
+    """Beyond what the driver can hold, slices of the table are broadcast one by one; n-grams never move."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    keyed = docs.unionByName(docs.limit(9)).select(rules.text_key().alias("_key"), "text")
+    keyed = keyed.unionByName(spark.createDataFrame([(b"none", None), (b"word", "one")], "_key binary, text string"))
+
+    def sums():
+        found = model.sums(keyed)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(page" not in plan and "SortMergeJoin" not in plan
+        return {bytes(r["_key"]): r["_sum"] for r in found.collect()}
+
+    want = sums()
+    assert len(want) > 40 and b"word" in want and b"none" not in want and model.buckets > 2 * rules.PAGE
+    monkeypatch.setattr(rules, "PACKED", rules.PAGE)
+    assert sums() == want
+    whole, parts = rules.Table._part, []
+    monkeypatch.setattr(rules.Table, "_part", lambda self, d, a, b: parts.append((a, b)) or whole(self, d, a, b))
+    sums()
+    pages = -(-model.buckets // rules.PAGE)
+    assert parts == [(i, i + 1) for i in range(pages)]
+
+
+def test_slices_follow_the_driver(spark, monkeypatch):
+    assert rules.PAGE <= rules.slice_size(spark) <= rules.PACKED
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    monkeypatch.setattr(rules, "PAGE_BYTES", heap // 120)
+    assert rules.slice_size(spark) == 10 * rules.PAGE
