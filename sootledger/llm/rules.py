@@ -169,8 +169,7 @@ def placed_grams(docs: DataFrame, buckets: int, first: bool = False) -> DataFram
     `first` adds whether it is the first one of its row.
     """
     kept = [c for c in docs.columns if c != "text"]
-    more = F.col("_pair").isNotNull()
-    grams = hashed_words(docs).select(*kept, "_at", more.alias("_more"), F.posexplode(F.array("_one", "_pair")).alias("_kind", "_gram"))
+    grams = hashed_words(docs).select(*kept, "_at", "_more", F.posexplode(F.array("_one", "_pair")).alias("_kind", "_gram"))
     grams = grams.where((F.col("_kind") == 0) | F.col("_more"))
     if first:
         kept = [*kept, ((F.col("_at") == 0) & (F.col("_kind") == 0)).alias("_first")]
@@ -178,7 +177,7 @@ def placed_grams(docs: DataFrame, buckets: int, first: bool = False) -> DataFram
 
 
 def hashed_words(docs: DataFrame) -> DataFrame:
-    """One row for each word: all columns but the text, its place `_at`, its hash `_one`, and `_pair`, NULL at the end.
+    """One row for each word: all columns but the text, its place `_at`, its hash `_one`, `_more`, whether one follows, and then `_pair`.
 
     Words are hashed behind the generator, where Spark compiles it; inside a function over an array each word
     would be interpreted.
@@ -190,7 +189,7 @@ def hashed_words(docs: DataFrame) -> DataFrame:
     hashes = met.select(*kept, "_at", hashed(F.col("_word.one")).alias("_one"), hashed(F.col("_word.two")).alias("_two"),
                         F.col("_word.two").isNotNull().alias("_more"))
     pair = F.when(F.col("_more"), joined(F.col("_one"), F.col("_two")))
-    return hashes.select(*kept, "_at", "_one", pair.alias("_pair"))
+    return hashes.select(*kept, "_at", "_more", "_one", pair.alias("_pair"))
 
 
 def table_of(marked: DataFrame, total: int, share: float) -> Table:
